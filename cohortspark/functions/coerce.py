@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 
 from ..spec import UNKNOWN, FieldSpec
 
-_DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# The texts that count as numbers.
+_DECIMAL = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+_NUMBER_TEXT = rf"^ *({_DECIMAL}|(?i)(nan|[+-]?inf(inity)?)) *$"
 _PLAIN_INTEGRAL = r"^[+-]?\d+(\.0*)?$|^[+-]?\.0+$"
 _INF = float("inf")
 
@@ -27,21 +29,19 @@ def to_number(column: Column) -> Column:
     """Text to double; malformed text becomes null, ``nan``/``inf`` keep meaning.
 
     The pattern guard is needed: a bare ``try_cast`` also accepts ``1d``, ``1f``
-    and hexadecimal floats.
+    and hexadecimal floats. One pattern and one cast keep the generated code of
+    a wide table small enough to be compiled.
     """
-    text = _text(column)
-    word = F.lower(text)
-    return (
-        F.when(text.rlike(_DECIMAL_TEXT), text.try_cast("double"))
-        .when(word == "nan", F.lit(float("nan")))
-        .when(word.isin("inf", "+inf", "infinity", "+infinity"), F.lit(_INF))
-        .when(word.isin("-inf", "-infinity"), F.lit(-_INF))
-    )
+    text = column.cast("string")
+    return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
 
 
 def is_finite(number: Column) -> Column:
-    """True for a double that is neither null, NaN nor infinite."""
-    return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < _INF)
+    """True for a double that is neither null, NaN nor infinite.
+
+    NaN sorts above infinity, so one comparison rules out both.
+    """
+    return F.coalesce(F.abs(number) < _INF, F.lit(False))
 
 
 def is_missing(column: Column) -> Column:
@@ -84,10 +84,10 @@ def to_code(
     text = _text(column)
     if canonical:
         return _closed(_canonical(text), valid, unknown)
-    short = F.when(
-        text.rlike(r"^[+-]?\d+\.0+$"), F.regexp_extract(text, r"^([^.]*)", 1)
-    ).otherwise(text)
-    return _closed(F.nullif(short, F.lit("")), valid, unknown)
+    short = F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")
+    if valid is None:
+        return F.nullif(short, F.lit(""))
+    return _closed(short, valid, unknown)
 
 
 def _canonical(text: Column) -> Column:
@@ -97,7 +97,7 @@ def _canonical(text: Column) -> Column:
     negative = digits.startswith("-") & (magnitude != "0")
     plain = F.when(negative, F.concat(F.lit("-"), magnitude)).otherwise(magnitude)
     # Exponent forms go through a decimal; what does not fit stays as text.
-    number = F.when(digits.rlike(_DECIMAL_TEXT), digits).try_cast("decimal(38,18)")
+    number = F.when(digits.rlike(f"^{_DECIMAL}$"), digits).try_cast("decimal(38,18)")
     integral = F.when(F.floor(number) == number, F.floor(number).cast("decimal(38,0)"))
     return (
         F.when((text == "") | F.lower(text).rlike("^[+-]?nan$"), F.lit(None))

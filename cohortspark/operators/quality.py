@@ -74,7 +74,10 @@ def flag_first_failure(
         name: number_of(df, column) if kind == "numeric" else to_code(F.col(column))
         for name, (column, kind) in cascade.inputs.items()
     }
-    coerced = df.select("*", *[c.alias(f"__in_{n}") for n, c in inputs.items()])
+    # A generator of one row keeps the coerced values apart from the conditions: a
+    # plain projection would be merged into them and parse a text once per use.
+    row = F.struct(*[c.alias(f"__in_{n}") for n, c in inputs.items()])
+    coerced = df.select("*", F.inline(F.array(row)))
     values = {name: F.col(f"__in_{name}") for name in inputs}
     failure: Column | None = None
     for step in cascade.steps:

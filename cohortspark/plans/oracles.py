@@ -38,7 +38,7 @@ person AS (SELECT
        ELSE CAST(l_suppkey % 40 AS DOUBLE) END AS antiguedad_anios,
   CASE WHEN l_partkey % 43 = 0 THEN 11.5 WHEN l_partkey % 47 = 0 THEN 12.0
        ELSE CAST(l_partkey % 12 AS DOUBLE) END AS antiguedad_meses,
-  CASE WHEN l_partkey % 53 = 0 THEN 0.0 ELSE CAST(l_quantity * 4 AS DOUBLE) END AS horas_semanales,
+  CASE WHEN l_partkey % 53 = 0 THEN 0.0 ELSE CAST(l_quantity * 3 + l_linenumber * 6 AS DOUBLE) END AS horas_semanales,
   CASE WHEN l_orderkey % 53 = 0 THEN 'DESCONOCIDO'
        ELSE CAST(l_partkey % 8 AS VARCHAR) END AS nivel_educativo,
   CASE WHEN l_linenumber <= 4 THEN CAST(l_linenumber AS VARCHAR)

@@ -38,7 +38,7 @@ PERSON_TEXT = {
         WHEN l_partkey % 47 = 0 THEN '12'
         ELSE CAST(l_partkey % 12 AS {S}) || '.0' END""",
     "P05H01A": """CASE WHEN l_partkey % 53 = 0 THEN '0'
-        ELSE CAST(CAST(l_quantity AS INT) * 4 AS {S}) END""",
+        ELSE CAST(CAST(l_quantity AS INT) * 3 + l_linenumber * 6 AS {S}) END""",
     "P03A03A": """CASE WHEN l_orderkey % 53 = 0 THEN NULL
         ELSE CAST(l_partkey % 8 AS {S}) || '.0' END""",
     "P05C16": """CASE WHEN l_linenumber <= 4 THEN CAST(l_linenumber AS {S})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .functions.coerce import is_finite
 from .spec import Cascade, DatasetSpec, FieldSpec, FilterStep, PeriodNaming
 
@@ -72,10 +70,6 @@ SURVEY_NAMING = PeriodNaming(
 # --- end of fixed values ----------------------------------------------------
 
 
-def _whole_month(months):
-    return F.abs(months - F.floor(months)) < 1e-9
-
-
 _CONDITIONS = {
     1: lambda c: is_finite(c["edad"]),
     2: lambda c: c["edad"] >= 15,
@@ -84,9 +78,7 @@ _CONDITIONS = {
     5: lambda c: c["salario_mensual"].isNotNull(),
     6: lambda c: is_finite(c["salario_mensual"]) & (c["salario_mensual"] > 0),
     7: lambda c: is_finite(c["antiguedad_anios"]),
-    8: lambda c: is_finite(c["antiguedad_meses"])
-    & _whole_month(c["antiguedad_meses"])
-    & c["antiguedad_meses"].between(0, 11),
+    8: lambda c: c["antiguedad_meses"].between(0, 11) & (c["antiguedad_meses"] % 1 < 1e-9),
     9: lambda c: is_finite(c["antiguedad"]) & (c["antiguedad"] >= 0),
     10: lambda c: c["antiguedad"] <= c["edad"],
     11: lambda c: is_finite(c["horas_semanales"]) & (c["horas_semanales"] > 0),
