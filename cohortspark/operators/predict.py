@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.base import Estimator
+from pyspark.ml.base import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -17,6 +15,7 @@ from ..presets import LABOUR_SURVEY
 from ..spec import DatasetSpec, require_columns
 from .evaluate import METRICS, best_by, regression_metrics, stack_predictions
 from .quantiles import ACCURACY, select_ranks
+from .relational import kept
 from .segment import SEED
 
 # The compared configurations.
@@ -32,17 +31,6 @@ RF_CONFIGS = (
 )
 
 
-@contextmanager
-def kept(*frames: DataFrame):
-    """Frames that ML iterates over, held in memory or on disk, then released."""
-    held = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in frames]
-    try:
-        yield held
-    finally:
-        for df in held:
-            df.unpersist()
-
-
 def target_median(
     df: DataFrame, target: str = LABOUR_SURVEY.target, accuracy: int = ACCURACY, exact: bool = False
 ) -> float:
@@ -158,9 +146,7 @@ def pipeline_for(config: Mapping[str, object], spec: DatasetSpec = LABOUR_SURVEY
     )
 
 
-def score_models(
-    df: DataFrame, models: Mapping[str, PipelineModel], keep: Sequence[str]
-) -> DataFrame:
+def score_models(df: DataFrame, models: Mapping[str, Model], keep: Sequence[str]) -> DataFrame:
     """Long frame ``(*keep, modelo, prediction)``; one scan scores every model."""
     scored, columns = df, {}
     for i, (name, model) in enumerate(models.items()):
@@ -179,11 +165,21 @@ def sweep(
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Validation metrics of every configuration, best RMSE first, and the models.
 
-    Keep both frames persisted while sweeping; all models are scored together.
+    The encoders do not depend on the configuration: they are learned once on the
+    training rows, and only the encoded features are kept while the estimators
+    are fitted. Every model scores the same validation rows in one scan.
     """
-    models = {c["modelo"]: pipeline_for(c, spec, **options).fit(train) for c in configs}
-    long = score_models(validation, models, [spec.target])
+    pipelines = {c["modelo"]: pipeline_for(c, spec, **options) for c in configs}
+    shared = next(iter(pipelines.values())).getStages()[:-1]
+    encoder = Pipeline(stages=shared).fit(train)
+    encoded = [
+        encoder.transform(df).select(spec.target, "features") for df in (train, validation)
+    ]
+    with kept(encoded[0]) as (features,):
+        fitted = {n: p.getStages()[-1].fit(features) for n, p in pipelines.items()}
+    long = score_models(encoded[1], fitted, [spec.target])
     metrics = regression_metrics(long, spec.target, by=["modelo"])
+    models = {n: PipelineModel([*encoder.stages, m]) for n, m in fitted.items()}
     names = [n for n in configs[0] if n != "modelo"]
     kinds = {n: "int" if isinstance(configs[0][n], int) else "double" for n in names}
     settings = train.sparkSession.createDataFrame(

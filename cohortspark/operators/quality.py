@@ -137,15 +137,20 @@ filter_with_audit = apply_filters_with_audit
 
 
 def _row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 of the compared columns; nulls count, -0.0 equals 0.0."""
+    """128-bit digest of the compared columns: two hashes with different seeds.
+
+    Hashing skips nulls, so each column also contributes whether it is null;
+    -0.0 is hashed as 0.0, which it equals.
+    """
     parts = []
     for name in columns:
         column = F.col(f"`{name}`")
         if df.schema[name].dataType.typeName() in ("double", "float"):
             column = column + F.lit(0.0)
-        parts.append(column.alias(name))
-    text = F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
-    return F.sha2(text, 256)
+        parts += [column, column.isNull()]
+    return F.struct(
+        F.xxhash64(F.lit(0), *parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b")
+    )
 
 
 def duplicate_keys(
@@ -161,7 +166,7 @@ def duplicate_keys(
     groups = [*by, *[k for k in keys if k not in by]]
     require_columns(df, groups, "duplicate_keys")
     compared = [c for c in df.columns if c not in groups]
-    digest = _row_digest(df, compared) if compared else F.lit("")
+    digest = _row_digest(df, compared)
     versions = (
         df.select(*groups, digest.alias("__version"))
         .groupBy(*groups, "__version")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,27 @@ def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(table, df.schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A frame to be iterated over, in at least one partition per core.
+
+    Only an input with very few splits is redistributed; large ones have more
+    partitions than cores and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def kept(*frames: DataFrame):
+    """Frames that ML iterates over, held in memory or on disk, then released."""
+    held = [spread(df).persist(StorageLevel.MEMORY_AND_DISK) for df in frames]
+    try:
+        yield held
+    finally:
+        for df in held:
+            df.unpersist()
+
+
 def with_share(
     counts: DataFrame, within: Sequence[str], alias: str, total: str | None = None, n: str = "n"
 ) -> DataFrame:

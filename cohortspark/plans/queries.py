@@ -71,8 +71,9 @@ from .. import (
     write_prepared,
 )
 from ..functions.derive import join_labels
-from ..operators.predict import LR_CONFIGS, RF_CONFIGS, best_config, kept, pipeline_for
+from ..operators.predict import LR_CONFIGS, RF_CONFIGS, best_config, pipeline_for
 from ..operators.quantiles import quantile_cuts
+from ..operators.relational import kept, settle
 from ..operators.sample import hash_unit
 from ..sources.extracts import select_extracts
 from .views import (
@@ -557,8 +558,9 @@ def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def silhouette_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    features, _, _ = prepare_kmeans_features(survey_prepared(spark, sf))
-    return kmeans_sweep(features)[0]
+    with kept(survey_prepared(spark, sf).select(*LABOUR_SURVEY.numeric)) as (rows,):
+        features, _, _ = prepare_kmeans_features(rows)
+        return kmeans_sweep(features)[0]
 
 
 @query
@@ -713,9 +715,8 @@ def _train_and_validation(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
 
 
 def _swept(spark: SparkSession, sf: str, configs) -> DataFrame:
-    with kept(*_train_and_validation(spark, sf)) as (train, validation):
-        metrics, _ = sweep(train, validation, configs, CHARGES)
-        return spark.createDataFrame(metrics.toArrow(), metrics.schema)  # a row per configuration
+    metrics, _ = sweep(*_train_and_validation(spark, sf), configs, CHARGES)
+    return metrics
 
 
 @query
@@ -744,7 +745,7 @@ def forest_importances_by_column(spark: SparkSession, sf: str) -> DataFrame:
 def holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Best linear configuration refitted on all earlier rows, scored on later ones."""
     rows = charges(spark, sf)
-    best = best_config(_swept(spark, sf, LR_CONFIGS), LR_CONFIGS)
+    best = best_config(settle(_swept(spark, sf, LR_CONFIGS)), LR_CONFIGS)
     with kept(rows.where("era = 'train'")) as (train,):
         models = {
             "Linear Regression": pipeline_for(best, CHARGES).fit(train),
