@@ -38,7 +38,7 @@ def staged_text(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
         micros = F.date_format(column, "SSSSSS")
-        return F.when(micros == "000000", whole).otherwise(F.concat_ws(".", whole, micros))
+        return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
     if isinstance(kind, T.StringType):
         trimmed = F.regexp_replace(column, r"^\s+|\s+$", "")
         return F.nullif(trimmed, F.lit(""))

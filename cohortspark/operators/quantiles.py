@@ -99,7 +99,7 @@ def exact_quantiles(
         F.max(F.when(F.col("probability") == F.lit(float(p)), F.col("value"))).alias(name)
         for name, p in columns.items()
     ]
-    return ranks.groupBy(*by).agg(F.max("n").alias("n"), *picks)
+    return ranks.groupBy(*by).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *picks)
 
 
 def sketch_quantiles(value: Column, probabilities: Sequence[float], accuracy: int = ACCURACY) -> Column:

@@ -13,6 +13,7 @@ from .segment import SEED
 
 _SLOTS = 1 << 20
 _SALTS = 256
+_CROWDED = 256  # competing rows per wanted row that call for salting
 
 
 def _identity(keys: Sequence[str], seed: int) -> Column:
@@ -64,7 +65,7 @@ def _first_by(
     rows = df
     if edge["slot"] is not None:
         rows = df.where(F.col(slot) <= edge["slot"])
-        if edge["kept"] > _SALTS * max_rows:
+        if edge["kept"] > _CROWDED * max_rows:
             salted = rows.withColumn("__salt", F.spark_partition_id() % _SALTS)
             place = F.row_number().over(Window.partitionBy("__salt").orderBy(*order))
             rows = (
