@@ -197,11 +197,15 @@ def model_winners(metrics: DataFrame, by: Sequence[str] = ("dataset",)) -> DataF
     )
 
 
-def dataset_deltas(metrics: DataFrame, first: str, second: str) -> DataFrame:
+def dataset_deltas(
+    metrics: DataFrame, first: str, second: str, names: tuple[str, str] | None = None
+) -> DataFrame:
     """Metrics of two datasets side by side with their change per model.
 
-    The change is second minus first; ``direccion`` describes the RMSE.
+    The change is second minus first; ``direccion`` describes the RMSE. ``names``
+    replaces the dataset tags in the column names.
     """
+    early, late = names or (first, second)
 
     def pick(metric: str, dataset: str) -> Column:
         return F.max(F.when(F.col("dataset") == dataset, F.col(metric)))
@@ -209,8 +213,8 @@ def dataset_deltas(metrics: DataFrame, first: str, second: str) -> DataFrame:
     columns = []
     for metric in METRICS:
         columns += [
-            pick(metric, first).alias(f"{metric}_{first}"),
-            pick(metric, second).alias(f"{metric}_{second}"),
+            pick(metric, first).alias(f"{metric}_{early}"),
+            pick(metric, second).alias(f"{metric}_{late}"),
             (pick(metric, second) - pick(metric, first)).alias(f"delta_{metric}"),
         ]
     change = F.col("delta_RMSE")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,15 +160,18 @@ def categorical_distribution(df: DataFrame, column: str) -> DataFrame:
 def sparse_distributions(long: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Published wide layout: one category column per variable, others null.
 
-    Column order follows a null-filling union of the single distributions.
+    The same rows as a null-filling union of the single distributions, without
+    computing each of them again.
     """
-    tables = [
-        long.where(F.col("variable") == name).select(
-            F.col("categoria").alias(name), "n", "porcentaje", "variable"
-        )
-        for name in columns
+    first, *others = [
+        F.when(F.col("variable") == name, F.col("categoria")).alias(name) for name in columns
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    position = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable"))
+    return (
+        long.where(F.col("variable").isin(*columns))
+        .orderBy(position, F.desc("n"), F.asc("categoria"))
+        .select(first, "n", "porcentaje", "variable", *others)
+    )
 
 
 def leading_category(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -615,11 +615,19 @@ def _models(median: float) -> dict[str, Column]:
     }
 
 
-def _predictions(spark: SparkSession, sf: str, keep: list[str]) -> DataFrame:
-    """Baseline and two closed-form models scored on validation and test rows."""
+def _predictions(
+    spark: SparkSession,
+    sf: str,
+    keep: list[str],
+    enrich: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Baseline and two closed-form models scored on validation and test rows.
+
+    ``enrich`` may join columns to the rows before every model scores them.
+    """
     rows = _parts(charges(spark, sf))
     median = target_median(rows.where("dataset = 'train'"), "charge", exact=True)
-    scored = rows.where("dataset <> 'train'")
+    scored = enrich(rows.where("dataset <> 'train'"))
     return stack_predictions(scored, _models(median), ["dataset", *keep, "charge"])
 
 
@@ -657,10 +665,13 @@ def grouped_errors(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def brand_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Errors per brand; lines whose part is unknown form the unknown group."""
-    long = _predictions(spark, sf, ["l_partkey"]).where("dataset = 'test'")
     brands = table(spark, sf, "part").where("p_size > 10").select("p_partkey", "p_brand")
-    joined = long.join(brands, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return rounded(grouped_error_metrics(joined, "p_brand", label_col="charge", by=["modelo"]))
+
+    def branded(rows: DataFrame) -> DataFrame:
+        return rows.join(brands, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+    long = _predictions(spark, sf, ["p_brand"], branded).where("dataset = 'test'")
+    return rounded(grouped_error_metrics(long, "p_brand", label_col="charge", by=["modelo"]))
 
 
 @query

@@ -17,14 +17,18 @@ def write_prepared(
     path: str,
     partition_by: Sequence[str] = ("periodo_archivo",),
     expected_rows: int | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Overwrite a Parquet table, check its row count and return it.
 
     The count of the written table comes from file footers. ``expected_rows``
     saves counting the source when an audit has already done it. Reading the
-    result back cuts the lineage of everything before it.
+    result back cuts the lineage of everything before it. ``rebalance`` gathers
+    the rows of a period into files of a sensible size, for input that is not
+    ordered by period; adaptive execution splits a period that is too large.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rows_out = df.hint("rebalance", *partition_by) if rebalance else df
+    rows_out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     # Period texts stay texts: the schema is given, not inferred from folders.
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     rows = df.count() if expected_rows is None else expected_rows

@@ -15,7 +15,7 @@ from cohortspark.session import configure  # noqa: E402
 def spark():
     session = (
         configure(SparkSession.builder.master("local[8]"))
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
