@@ -15,7 +15,7 @@ from ..presets import LABOUR_SURVEY
 from ..spec import DatasetSpec, require_columns
 from .evaluate import METRICS, best_by, regression_metrics, stack_predictions
 from .quantiles import ACCURACY, select_ranks
-from .relational import kept
+from .relational import kept, settle
 from .segment import SEED
 
 # The compared configurations.
@@ -178,7 +178,7 @@ def sweep(
     with kept(encoded[0]) as (features,):
         fitted = {n: p.getStages()[-1].fit(features) for n, p in pipelines.items()}
     long = score_models(encoded[1], fitted, [spec.target])
-    metrics = regression_metrics(long, spec.target, by=["modelo"])
+    metrics = settle(regression_metrics(long, spec.target, by=["modelo"]))
     models = {n: PipelineModel([*encoder.stages, m]) for n, m in fitted.items()}
     names = [n for n in configs[0] if n != "modelo"]
     kinds = {n: "int" if isinstance(configs[0][n], int) else "double" for n in names}

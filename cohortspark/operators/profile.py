@@ -160,17 +160,15 @@ def categorical_distribution(df: DataFrame, column: str) -> DataFrame:
 def sparse_distributions(long: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Published wide layout: one category column per variable, others null.
 
-    The same rows as a null-filling union of the single distributions, without
+    ``columns`` are the variables of ``long``, in the order to show them. The same rows as a null-filling union of the single distributions, without
     computing each of them again.
     """
     first, *others = [
         F.when(F.col("variable") == name, F.col("categoria")).alias(name) for name in columns
     ]
     position = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("variable"))
-    return (
-        long.where(F.col("variable").isin(*columns))
-        .orderBy(position, F.desc("n"), F.asc("categoria"))
-        .select(first, "n", "porcentaje", "variable", *others)
+    return long.orderBy(position, F.desc("n"), F.asc("categoria")).select(
+        first, "n", "porcentaje", "variable", *others
     )
 
 

@@ -48,7 +48,7 @@ def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A frame to be iterated over, in at least one partition per core.
+    """Input of costly or repeated work, in at least one partition per core.
 
     Only an input with very few splits is redistributed; large ones have more
     partitions than cores and stay where they are.
@@ -73,15 +73,16 @@ def with_share(
 ) -> DataFrame:
     """Adds the percentage of ``n`` within groups of already counted rows.
 
-    Totals come from a second aggregate joined back, not from a window, so a
-    group with very many categories never lands in a single task.
+    Counts of usual size are evaluated once. Of larger ones the totals come from a
+    second aggregate joined back, not from a window, so a group with very many
+    categories never lands in a single task.
     """
     name = total or "__total"
+    counts = settle(counts)
     if within:
         totals = counts.groupBy(*within).agg(F.sum(n).alias(name))
         joined = null_safe_join(counts, totals, within)
     else:
-        counts = settle(counts)
         joined = counts.withColumn(name, F.lit(counts.agg(F.sum(n)).first()[0]).cast("long"))
     shared = joined.withColumn(alias, percent(F.col(n), F.col(name)))
     return shared if total else shared.drop(name)

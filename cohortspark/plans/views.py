@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import apply_filters_with_audit
+from ..operators.relational import spread
 from ..presets import LABOUR_SURVEY
 from ..sources.extracts import standardise
 from ..spec import DatasetSpec, FieldSpec
@@ -76,7 +77,7 @@ def work_folder(spark: SparkSession) -> str:
 
 def survey_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged survey texts with provenance, one row per line item."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     return lines.select(
         *[spark_sql(text).alias(name) for name, text in PERSON_TEXT.items()],
         spark_sql(FILE_TEXT).alias("archivo_origen"),
@@ -119,7 +120,7 @@ CHARGES = DatasetSpec(
 
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their charge, period and dataset."""
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         *CHARGES.keys,
         "l_partkey",
         *CHARGES.numeric,

@@ -6,6 +6,9 @@ SETTINGS = {
     # Wide coercions make long generated methods, and the JVM does not compile
     # methods beyond 8000 bytes: split them instead of running them interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording a Python call site for every column operation costs seconds on
+    # plans of this width; errors still name the failing operation.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

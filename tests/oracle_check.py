@@ -59,6 +59,7 @@ def session(cores: str = "8"):
 
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
