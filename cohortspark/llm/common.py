@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -57,6 +58,13 @@ def ship(spark: SparkSession) -> None:
     context._cohortspark_shipped = True
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nobody holds any more, which it
+    does when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_name(df: DataFrame, *wanted: str) -> list[str]:
     """Column names for own use that do not clash with those of the frame."""
     taken = {c.lower() for c in df.columns}

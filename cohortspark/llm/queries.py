@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, mixture, secret_scan, shards
+from cohortspark.llm import exact, mixture, ngram_join, secret_scan, shards
 from cohortspark.llm.common import text_of, word_count, written
 
 
@@ -49,6 +49,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.probe(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op3_shuffle_shards, op7_secret_scan, op10_exact_dedup)
+        for f in (op1_mix_sources, op3_shuffle_shards, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
     }
 
 
