@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, mixture, ngram_join, secret_scan, shards
+from cohortspark.llm import exact, mixture, ngram_join, quality, secret_scan, shards
 from cohortspark.llm.common import text_of, word_count, written
 
 
@@ -36,6 +36,10 @@ def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
@@ -60,7 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op3_shuffle_shards, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
+        for f in (op1_mix_sources, op3_shuffle_shards, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
     }
 
 
