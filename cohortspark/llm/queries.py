@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, mixture, ngram_join, quality, secret_scan, shards
+from cohortspark.llm import exact, mixture, ngram_join, pieces, quality, secret_scan, shards
 from cohortspark.llm.common import text_of, word_count, written
 
 
+#: A SentencePiece model; its place is a parameter of the queries that use it.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +41,19 @@ def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
+    codec = pieces.Codec(spark, model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("token_ids", codec.encode(F.col("text")))
+    back = codec.decode(F.col("token_ids"))
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        "token_ids",
+        (back == F.translate(text_of(), pieces.MARK, " ")).alias("round_trip"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +82,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op3_shuffle_shards, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
+        for f in (op1_mix_sources, op3_shuffle_shards, op4_pieces, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
     }
 
 
