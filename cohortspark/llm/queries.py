@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, mixture, ngram_join, pieces, quality, secret_scan, shards
+from cohortspark.llm import exact, mixture, ngram_join, pieces, quality, secret_scan, shards, vectors
 from cohortspark.llm.common import text_of, word_count, written
 
 
@@ -27,6 +27,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select(
@@ -82,7 +86,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op3_shuffle_shards, op4_pieces, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
+        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
     }
 
 
