@@ -95,36 +95,44 @@ def document_facts(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
 # --- the shared part of the prefixes ------------------------------------------------
 
 
-def _prefix_rows(classes, blocks: int) -> Callable:
-    """Prefix entries of each partition by column block.
+def packed(g, c1, c2, n, pos, blocks: int, number: int) -> pd.DataFrame:
+    """Entries (column g; row c1, c2 of size n; position) by column block.
 
-    A shingle that several rows of a flush share is known to be shared: all its entries
-    skip the blocks (negative block numbers), and one of them stands for them there. So
-    a block gets each shingle at most once from each flush, however frequent it is.
+    A column that several entries share is known to be shared: all its entries skip the
+    blocks (negative block numbers), and one of them stands for them there. So a block
+    gets each column at most once from each call, however frequent it is.
     """
+    order = np.argsort(g, kind="stable")
+    g, c1, c2, n, pos = (x[order] for x in (g, c1, c2, n, pos))
+    new = np.concatenate([[True], g[1:] != g[:-1]])
+    last = np.concatenate([new[1:], [True]])
+    out = []
+
+    def add(block: int, pick: np.ndarray) -> None:
+        out.append((block, *(x[pick].tobytes() for x in (g, c1, c2, n, pos))))
+
+    known = np.flatnonzero(~(new & last))
+    for low in range(0, len(known), 20_000):
+        add(-1 - (number + low) % 4093, known[low : low + 20_000])
+    firsts = np.flatnonzero(new)
+    block = (g[firsts] >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
+    cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    for low, high in zip(cut, [*cut[1:], len(firsts)], strict=True):
+        add(int(block[low]), firsts[low:high])
+    return pd.DataFrame(out, columns=["block", "g", "c1", "c2", "n", "pos"])
+
+
+PACKED = "block long, g binary, c1 binary, c2 binary, n binary, pos binary"
+ENTRY = "g long, c1 long, c2 long, n int, pos int"
+
+
+def _prefix_rows(classes, blocks: int) -> Callable:
+    """Prefix entries of each partition by column block."""
 
     def flush(g, row, pos, keys, number):
-        g, row, pos = np.concatenate(g), np.concatenate(row), np.concatenate(pos)
-        order = np.argsort(g, kind="stable")
-        g, row, pos = g[order], row[order], pos[order]
-        new = np.concatenate([[True], g[1:] != g[:-1]])
-        last = np.concatenate([new[1:], [True]])
+        r = np.concatenate(row)
         c1, c2, n = (np.array(k, dtype=np.int64) for k in zip(*keys, strict=True))
-        out = []
-
-        def add(block, pick):
-            r = row[pick]
-            out.append((block, g[pick].tobytes(), c1[r].tobytes(), c2[r].tobytes(), n[r].astype("i4").tobytes(), pos[pick].tobytes()))
-
-        known = np.flatnonzero(~(new & last))
-        for low in range(0, len(known), 20_000):
-            add(-1 - (number + low) % 4093, known[low : low + 20_000])
-        firsts = np.flatnonzero(new)
-        block = (g[firsts] >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
-        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        for low, high in zip(cut, [*cut[1:], len(firsts)], strict=True):
-            add(int(block[low]), firsts[low:high])
-        return pd.DataFrame(out, columns=["block", "g", "c1", "c2", "n", "pos"])
+        return packed(np.concatenate(g), c1[r], c2[r], n[r].astype("i4"), np.concatenate(pos), blocks, number)
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rank = classes.value
@@ -157,7 +165,7 @@ def _prefix_rows(classes, blocks: int) -> Callable:
     return rows
 
 
-def _shared_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def shared_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Entries of columns that several rows have, out of the whole column blocks of a task."""
     parts: list[tuple] = []
 
@@ -196,10 +204,8 @@ def shared_prefixes(docs: DataFrame, classes: np.ndarray, total: int) -> DataFra
     spark = docs.sparkSession
     blocks = max(64, total // 4 // _BLOCK_ENTRIES)
     held = spark.sparkContext.broadcast(classes)  # 2^20 bytes
-    packed = docs.select("text").mapInPandas(
-        _prefix_rows(held, blocks), "block long, g binary, c1 binary, c2 binary, n binary, pos binary"
-    )
-    shared = packed.repartition("block").mapInPandas(_shared_entries, "g long, c1 long, c2 long, n int, pos int")
+    rows = docs.select("text").mapInPandas(_prefix_rows(held, blocks), PACKED)
+    shared = rows.repartition("block").mapInPandas(shared_entries, ENTRY)
     return written(shared, "shared")
 
 
@@ -255,28 +261,36 @@ def product_pairs(rows: DataFrame) -> DataFrame:
 # --- comparison ---------------------------------------------------------------------
 
 
-def _compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links among rows sorted by (a, part, b), in which b = a brings a's own text."""
-    own_key, own = None, np.empty(0, np.uint64)
-    for frame in frames:
-        texts = frame["text"].tolist()
-        a_of, b_of, part = (frame[c].tolist() for c in ("a", "b", "part"))
-        out: list[tuple[int, int]] = []
-        for low, high in batches(texts):
-            for i, s in enumerate(shingle_sets(texts[low:high]), low):
-                if b_of[i] is None or b_of[i] != b_of[i]:
-                    own_key, own = (a_of[i], part[i]), s
-                elif (a_of[i], part[i]) == own_key:
-                    both = len(np.intersect1d(own, s, assume_unique=True))
-                    if 7 * both >= 3 * (len(own) + len(s)):
-                        out.append((a_of[i], int(b_of[i])))
-                else:
-                    raise ValueError("a text to compare with is missing")
-        yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _agreeing(prepare: Callable, agree: Callable) -> Callable:
+    """Links among rows sorted by (a, part, b), where a null b brings a's own text."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own_key, own = None, None
+        for frame in frames:
+            texts = frame["text"].tolist()
+            a_of, part = frame["a"].tolist(), frame["part"].tolist()
+            head, b_of = frame["b"].isna().tolist(), frame["b"].fillna(0).astype("int64").tolist()
+            out: list[tuple[int, int]] = []
+            for low, high in batches(texts):
+                for i, s in enumerate(prepare(texts[low:high]), low):
+                    if head[i]:
+                        own_key, own = (a_of[i], part[i]), s
+                    elif (a_of[i], part[i]) != own_key:
+                        raise ValueError("a text to compare with is missing")
+                    elif agree(own, s):
+                        out.append((a_of[i], b_of[i]))
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows
+
+
+def _jaccard(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 7 * both >= 3 * (len(a) + len(b))
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold; texts has (row, text).
+def compared(pairs: DataFrame, texts: DataFrame, prepare: Callable = shingle_sets, agree: Callable = _jaccard) -> DataFrame:
+    """The pairs (a, b) whose texts agree; texts has (row, text), written.
 
     Rows with many partners are dealt out in groups of partners, each with its own copy
     of the row's text; tasks read the groups one after the other.
@@ -290,7 +304,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     heads = heads.select("a", "part", F.lit(None).cast("long").alias("b"), "text")
     dealt = members.unionByName(heads).repartition("a", "part")
     dealt = dealt.sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return written(dealt.mapInPandas(_compared, "a long, b long"), "links")
+    return written(dealt.mapInPandas(_agreeing(prepare, agree), "a long, b long"), "links")
 
 
 # --- the operator -------------------------------------------------------------------

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, mixture, ngram_join, pieces, quality, secret_scan, shards, vectors
-from cohortspark.llm.common import text_of, word_count, written
+from cohortspark.llm import exact, lines, mixture, ngram_join, pieces, quality, secret_scan, shards, token_files, vectors
+from cohortspark.llm.common import new_folder, text_of, word_count, written
 
 
 #: A SentencePiece model; its place is a parameter of the queries that use it.
@@ -58,6 +58,10 @@ def op4_pieces(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFra
     )
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -75,6 +79,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_sha256", F.sha2("spans", 256))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files.materialise(docs, new_folder(spark, "shards"), token_files.ByteIds())
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -86,7 +95,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op6_quality, op7_secret_scan, op9_ngram_join, op10_exact_dedup)
+        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op5_fuzzy_lines, op6_quality, op7_secret_scan, op8_token_files, op9_ngram_join, op10_exact_dedup)
     }
 
 
