@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import strip
+
 
 def _float_text(value: Column) -> Column:
     """Integral doubles as integer text, others as plain decimal text.
@@ -40,8 +42,7 @@ def staged_text(column: Column, kind: T.DataType) -> Column:
         micros = F.date_format(column, "SSSSSS")
         return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
     if isinstance(kind, T.StringType):
-        trimmed = F.regexp_replace(column, r"^\s+|\s+$", "")
-        return F.nullif(trimmed, F.lit(""))
+        return F.nullif(strip(column), F.lit(""))
     return column.cast("string")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -15,6 +14,7 @@ from ..functions.coerce import typed
 from ..functions.derive import years_and_months
 from ..functions.staging import staged_text
 from ..functions.text import (
+    SPACE,
     check_period,
     detect_period,
     file_name,
@@ -42,9 +42,11 @@ PROVENANCE = ("archivo_origen", "periodo_archivo", "anio_archivo", "trimestre_ca
 def list_files(
     spark: SparkSession, roots: str | Sequence[str], recursive: bool = True
 ) -> DataFrame:
-    """Paths and lengths of all files below the roots; a missing root is empty.
+    """Paths and lengths of all extracts below the roots; a missing root is empty.
 
-    The listing source prunes file contents, so nothing is read.
+    An extract is a file, or a folder of part files whose name ends like one; the parts
+    count as one extract, and files that start with ``_`` or ``.`` as none. The listing
+    source prunes file contents, so nothing is read.
     """
     listings = []
     for root in [roots] if isinstance(roots, str) else list(roots):
@@ -55,7 +57,11 @@ def list_files(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     empty = spark.createDataFrame([], _LISTING)
-    return reduce(DataFrame.unionByName, listings, empty)
+    files = reduce(DataFrame.unionByName, listings, empty)
+    folder = F.regexp_extract("path", r"(?i)^(.*?\.(?:csv|parquet))/", 1)
+    extract = F.when(folder != "", folder).otherwise(F.col("path"))
+    real = files.where(~file_name(F.col("path")).rlike("^[_.]"))
+    return real.groupBy(extract.alias("path")).agg(F.sum("length").alias("length"))
 
 
 def select_extracts(
@@ -91,6 +97,11 @@ def find_person_files(
     return select_extracts(list_files(spark, roots, recursive), naming, suffixes)
 
 
+def ignored_extracts(extracts: DataFrame) -> DataFrame:
+    """``(path, archivo, status)`` of wanted extracts whose name gives no single period."""
+    return extracts.where(F.col("status") != "ok").select("path", "archivo", "status")
+
+
 def find_dictionaries(
     listing: DataFrame, naming: PeriodNaming = LABOUR_SURVEY.naming
 ) -> DataFrame:
@@ -134,15 +145,22 @@ def manifest(expected: DataFrame, extracts: DataFrame) -> DataFrame:
 def require_complete(table: DataFrame) -> None:
     """Fail when a period has no file or several; partial results are refused.
 
-    Reads at most a message's worth of offending rows.
+    All periods are looked at, in one aggregate.
     """
-    wrong = table.where(F.col("n_archivos") != 1).limit(PREVIEW).collect()
-    several = [r["periodo"] for r in wrong if r["n_archivos"] > 1]
-    absent = [r["periodo"] for r in wrong if r["n_archivos"] == 0]
-    if several:
-        raise ValueError(f"more than one extract for {', '.join(several)}")
-    if absent:
-        raise FileNotFoundError(f"no extract for {', '.join(absent)}")
+    wrong = table.agg(
+        *[
+            f(test)
+            for test in (F.col("n_archivos") > 1, F.col("n_archivos") == 0)
+            for f in (F.count_if, lambda t: F.min(F.when(t, F.col("periodo"))), lambda t: F.max(F.when(t, F.col("periodo"))))
+        ]
+    ).first()
+    for n, low, high, what, error in (
+        (*wrong[:3], "more than one extract", ValueError),
+        (*wrong[3:], "no extract", FileNotFoundError),
+    ):
+        if n:
+            named = low if n == 1 else f"{n} periods from {low} to {high}"
+            raise error(f"{what} for {named}")
 
 
 # --- headers -----------------------------------------------------------------
@@ -183,14 +201,30 @@ def header_audit(headers: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-def read_header(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
-    """Clean column names of one extract; reads a header line or a footer."""
+#: How CSV extracts are read: quotes are doubled inside quoted cells, and rows with too
+#: few or too many cells are an error.
+CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def raw_header(
+    spark: SparkSession, path: str, separator: str = ",", multi_line: bool = False
+) -> list[str]:
+    """Column names of one extract as they are written: a header row or a footer."""
     if str(path).lower().rstrip("/").endswith(".parquet"):
-        raw = spark.read.parquet(path).columns
-    else:
-        first = spark.read.text(path).first()
-        line = first["value"].lstrip("﻿") if first else ""
-        raw = next(csv.reader([line], delimiter=separator), [])
+        return spark.read.parquet(path).columns
+    row = spark.read.options(sep=separator, multiLine=multi_line, **CSV).csv(path).first()
+    names = ["" if cell is None else cell for cell in row or ()]
+    return [name.removeprefix("\ufeff") for name in names]
+
+
+def read_header(
+    spark: SparkSession, path: str, separator: str = ",", multi_line: bool = False
+) -> list[str]:
+    """Clean column names of one extract."""
+    return clean_header(path, raw_header(spark, path, separator, multi_line))
+
+
+def clean_header(path: str, raw: Sequence[str]) -> list[str]:
     names = [" ".join(name.split()) for name in raw]
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
@@ -239,14 +273,25 @@ def standardise(
 
 
 def _staged_scan(
-    spark: SparkSession, path: str, header: Sequence[str], sources: Sequence[str], separator: str
+    spark: SparkSession,
+    path: str,
+    raw_names: Sequence[str],
+    sources: Sequence[str],
+    separator: str,
+    multi_line: bool,
 ) -> DataFrame:
-    """Text of the wanted columns of one extract; absent ones are null."""
+    """Text of the wanted columns of one extract; absent ones are null.
+
+    Every part file of a CSV extract has to have the same header, in the same order;
+    the reader compares them and fails otherwise.
+    """
     if path.lower().rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
     else:
-        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        raw = spark.read.schema(text).options(header=True, sep=separator).csv(path)
+        text = T.StructType([T.StructField(c, T.StringType()) for c in raw_names])
+        options = {"header": True, "sep": separator, "enforceSchema": False, "multiLine": multi_line}
+        raw = spark.read.schema(text).options(**options, **CSV).csv(path)
+    header = clean_header(path, raw_names)
     found = dict(zip(header, raw.schema.fields))
     absent = F.lit(None).cast("string")
     return raw.select(
@@ -267,6 +312,7 @@ def load_extracts(
     required: Sequence[str] | None = None,
     metadata: Mapping[str, object] | None = None,
     separator: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Standard table of several extracts, tagged with the period of each.
 
@@ -274,7 +320,8 @@ def load_extracts(
     layout whose name carries the period. All headers and periods are checked
     before anything is planned. Each extract is then one scan of the selected
     columns with its provenance as literals, so no join and no shuffle is needed.
-    ``metadata`` may supply the period of an extract whose name lacks one.
+    ``metadata`` may supply the period of an extract whose name lacks one. With
+    ``multi_line``, quoted CSV cells may hold line breaks; such a file is not split.
     """
     if not paths:
         raise ValueError("no extracts to load")
@@ -288,9 +335,9 @@ def load_extracts(
     periods = extract_periods(spark, paths, spec.naming, metadata)
     tables = []
     for path in map(str, paths):
-        header = read_header(spark, path, separator)
-        require_header(path, header, needed)
-        staged = _staged_scan(spark, path, header, sources, separator)
+        raw_names = raw_header(spark, path, separator, multi_line)
+        require_header(path, clean_header(path, raw_names), needed)
+        staged = _staged_scan(spark, path, raw_names, sources, separator, multi_line)
         known = periods[path]
         provenance = {name: F.lit(known[name]) for name in PROVENANCE}
         tables.append(standardise(staged, provenance, spec, fields))
@@ -320,7 +367,7 @@ def extract_periods(
         "p.status",
         check_period(*said, detected=F.col("p")).alias("check"),
         file_name(F.col("bare")).alias("archivo_origen"),
-        F.regexp_replace(values[0], r"\s", "").alias("periodo_archivo"),
+        F.regexp_replace(values[0], SPACE, "").alias("periodo_archivo"),
         F.trim(values[1]).try_cast("int").alias("anio_archivo"),
         F.trim(values[2]).try_cast("int").alias("trimestre_calendario"),
     ).collect()  # one row per extract named by the caller
