@@ -18,11 +18,9 @@ from .operators.evaluate import (
 )
 from .operators.predict import (
     best_config,
-    build_linear_regression_pipeline,
-    build_random_forest_pipeline,
     feature_importance_table,
     importance_by_column,
-    make_supervised_pipeline,
+    model_pipeline,
     score_models,
     sweep,
     target_median,

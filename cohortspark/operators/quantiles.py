@@ -12,9 +12,6 @@ from .relational import null_safe_join, settle
 #: Fixed value: sketch accuracy of the published tables.
 ACCURACY = 10_000
 
-#: Rows of one key that may be ordered at once instead of being split further.
-_DIRECT_ROWS = 1_000_000
-
 _SMALLEST = 5e-324  # smallest positive double
 _EXPONENT_SHIFT = 1100  # makes its exponent positive
 
@@ -50,7 +47,8 @@ def select_ranks(
     """
     groups = list(by) or ["__all"]
     frame = df if by else df.withColumn("__all", F.lit(0))
-    data = _with_digits(frame.where(F.col(value).isNotNull()), value, groups)
+    # written once: the three passes read the keys they need, not the source again
+    data = settle(_with_digits(frame.where(F.col(value).isNotNull()), value, groups))
     targets, prefix, digits = None, list(groups), ["__d0", "__d1", "__d2"]
     while digits:
         digit = digits.pop(0)
@@ -68,7 +66,7 @@ def select_ranks(
                 "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
             ).withColumn("__rank", F.greatest(rank, F.lit(1)))
         else:
-            ladder = null_safe_join(ladder, targets.drop("__size"), prefix)
+            ladder = null_safe_join(ladder, targets, prefix)
         prefix.append(digit)
         targets = ladder.where(
             (F.col("__rank") <= F.col("__upto"))
@@ -78,14 +76,8 @@ def select_ranks(
             "n",
             "probability",
             (F.col("__rank") - F.col("__upto") + F.col("__n")).alias("__rank"),
-            F.col("__n").alias("__size"),
         )
-        if len(digits) == 2:
-            targets = settle(targets)
-            largest = targets.agg(F.max("__size")).first()[0] or 0
-            if largest <= _DIRECT_ROWS:
-                digits.pop(0)
-        elif digits:
+        if digits:
             targets = settle(targets)
     return targets.select(*by, "n", "probability", F.col("__d2").alias("value"))
 

@@ -27,12 +27,17 @@ def correlation_long(
     require_columns(df, [*by, *names], "correlation_long")
     values = df.select(
         *by, *[finite_of(df, c).alias(f"__v{i}") for i, c in enumerate(names)]
-    ).dropna(subset=[f"__v{i}" for i in range(len(names))])
+    )
+    # no filter: it would be pushed below the coercion and evaluate it again
+    complete = F.lit(True)
+    for i in range(len(names)):
+        complete = complete & F.col(f"__v{i}").isNotNull()
     pairs = list(combinations(range(len(names)), 2))
     wide = values.groupBy(*by).agg(
-        *[F.corr(f"__v{i}", f"__v{j}").alias(f"__r{i}_{j}") for i, j in pairs],
-        F.count("*").alias("__n"),
+        *[F.corr(F.when(complete, F.col(f"__v{i}")), F.when(complete, F.col(f"__v{j}"))).alias(f"__r{i}_{j}") for i, j in pairs],
+        F.count_if(complete).alias("__n"),
     )
+    wide = wide.where("__n > 0") if by else wide
 
     def cell(i: int, j: int):
         r = F.lit(1.0) if i == j else F.col(f"__r{min(i, j)}_{max(i, j)}")

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows a derived table may have to travel as a literal relation.
-SMALL_ROWS = 20_000
-
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
@@ -33,28 +32,36 @@ def null_safe_join(
     return joined if how == "left_semi" else joined.drop(*renamed.values())
 
 
-def settle(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Evaluate a small derived table once.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; only a local session may lack one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="cohortspark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Evaluate a derived table once: written to the shared folder and read again.
 
-    Up to ``max_rows`` rows come back as a literal relation whose true size the
-    planner knows, so a join with it needs neither a hint nor a shuffle of the
-    big side. A larger table is returned as it is and joined by shuffle.
+    Later plans start from the files, whose size the planner knows, and so do stages
+    that are repeated after an executor was lost. The rows have no order.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    # Arrow data of this size becomes a local relation with a known size.
-    return df.sparkSession.createDataFrame(table, df.schema)
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Input of costly or repeated work, in at least one partition per core.
+    """Input of costly work, in as many partitions as ``cohortspark.inputPartitions``.
 
-    Only an input with very few splits is redistributed; large ones have more
-    partitions than cores and stay where they are.
+    Without that setting the input stays as its files split it, which suits large
+    tables; the setting is for inputs of a few unsplittable files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get("cohortspark.inputPartitions", None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 @contextmanager
@@ -73,17 +80,15 @@ def with_share(
 ) -> DataFrame:
     """Adds the percentage of ``n`` within groups of already counted rows.
 
-    Counts of usual size are evaluated once. Of larger ones the totals come from a
-    second aggregate joined back, not from a window, so a group with very many
-    categories never lands in a single task.
+    The totals come from a second aggregate joined back, not from a window, so a group
+    with very many categories never lands in a single task. Both read one exchange.
     """
     name = total or "__total"
-    counts = settle(counts)
     if within:
         totals = counts.groupBy(*within).agg(F.sum(n).alias(name))
         joined = null_safe_join(counts, totals, within)
     else:
-        joined = counts.withColumn(name, F.lit(counts.agg(F.sum(n)).first()[0]).cast("long"))
+        joined = counts.withColumn(name, counts.agg(F.sum(n).cast("long")).scalar())
     shared = joined.withColumn(alias, percent(F.col(n), F.col(name)))
     return shared if total else shared.drop(name)
 

@@ -11,9 +11,7 @@ from ..presets import LABOUR_SURVEY
 from ..spec import require_columns
 from .segment import SEED
 
-_SLOTS = 1 << 20
-_SALTS = 256
-_CROWDED = 256  # competing rows per wanted row that call for salting
+_GROUPS = 256  # of tasks, in the first step of a sample
 
 
 def _identity(keys: Sequence[str], seed: int) -> Column:
@@ -44,36 +42,21 @@ def hash_split(
     return df.where(unit < fraction), df.where(unit >= fraction)
 
 
-def _first_by(
-    df: DataFrame, slot: str, order: Sequence[Column], max_rows: int
-) -> DataFrame:
-    """First rows in an order whose leading part is ``slot``, spread evenly.
+def _first_by(df: DataFrame, order: Sequence[Column], max_rows: int) -> DataFrame:
+    """First rows in a total order, in one scan and always by two levels.
 
-    A plain top-n hands ``max_rows`` rows of every task to one final task. Here a
-    histogram of the slot, of fixed size, first says up to which slot rows can
-    matter, and only those compete. If many rows share the last slot they are cut
-    down in salted groups before the final step.
+    Each task passes on its first rows only, these are cut down in groups of tasks,
+    and what the groups leave meets in the final step.
     """
-    slots = df.groupBy(slot).agg(F.count("*").alias("__n"))
-    running = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
-    reached = slots.select(slot, F.sum("__n").over(running).alias("__upto"))
-    edge = (
-        reached.where(F.col("__upto") >= max_rows)
-        .agg(F.min(slot).alias("slot"), F.min("__upto").alias("kept"))
-        .first()
+    group = Window.partitionBy("__group").orderBy(*order)
+    return (
+        df.withColumn("__group", F.spark_partition_id() % _GROUPS)
+        .withColumn("__place", F.row_number().over(group))
+        .where(F.col("__place") <= max_rows)
+        .drop("__group", "__place")
+        .orderBy(*order)
+        .limit(max_rows)
     )
-    rows = df
-    if edge["slot"] is not None:
-        rows = df.where(F.col(slot) <= edge["slot"])
-        if edge["kept"] > _CROWDED * max_rows:
-            salted = rows.withColumn("__salt", F.spark_partition_id() % _SALTS)
-            place = F.row_number().over(Window.partitionBy("__salt").orderBy(*order))
-            rows = (
-                salted.withColumn("__place", place)
-                .where(F.col("__place") <= max_rows)
-                .drop("__salt", "__place")
-            )
-    return rows.orderBy(*order).limit(max_rows)
 
 
 def deterministic_sample(
@@ -87,19 +70,17 @@ def deterministic_sample(
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
     require_columns(df, key_columns, "deterministic_sample")
-    digest = F.col("__digest")
-    hashed = df.withColumn("__digest", _identity(key_columns, seed)).withColumn(
-        "__slot", F.conv(F.substring(digest, 1, 5), 16, 10).cast("int")
-    )
-    order = [digest, *[F.col(k).cast("string") for k in key_columns]]
-    return _first_by(hashed, "__slot", order, max_rows).drop("__digest", "__slot")
+    hashed = df.withColumn("__digest", _identity(key_columns, seed))
+    order = [F.col("__digest"), *[F.col(k).cast("string") for k in key_columns]]
+    return _first_by(hashed, order, max_rows).drop("__digest")
 
 
 def random_sample(df: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
-    """Seeded random rows, for exploration; depends on the partitioning."""
+    """Seeded random rows, for exploration; depends on the partitioning.
+
+    The numbers are drawn once, in the job that returns the rows.
+    """
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
-    drawn = df.withColumn("__u", F.rand(seed)).withColumn(
-        "__slot", F.floor(F.col("__u") * _SLOTS).cast("int")
-    )
-    return _first_by(drawn, "__slot", [F.col("__u")], max_rows).drop("__u", "__slot")
+    drawn = df.withColumn("__u", F.rand(seed))
+    return _first_by(drawn, [F.col("__u")], max_rows).drop("__u")

@@ -75,6 +75,7 @@ from ..operators.predict import LR_CONFIGS, RF_CONFIGS, best_config, pipeline_fo
 from ..operators.quantiles import quantile_cuts
 from ..operators.relational import kept, settle
 from ..operators.sample import hash_unit
+from ..operators.segment import best_k
 from ..sources.extracts import select_extracts
 from .views import (
     CHARGES,
@@ -335,12 +336,16 @@ def label_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Nations of region 0 get codes that no customer has.
+NATION_CODE = "CASE WHEN n_regionkey = 0 THEN n_nationkey + 1000 ELSE n_nationkey END"
+
+
 @query
 def dictionary_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Labels from a dictionary table that lacks some codes."""
-    nations = table(spark, sf, "nation").where("n_regionkey <> 0")
+    nations = table(spark, sf, "nation").withColumn("code", F.expr(NATION_CODE))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return join_labels(customers, nations, "c_nationkey", "n_nationkey", "n_name", "pais")
+    return join_labels(customers, nations, "c_nationkey", "code", "n_name", "pais")
 
 
 @query
@@ -559,15 +564,17 @@ def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def silhouette_sweep(spark: SparkSession, sf: str) -> DataFrame:
     with kept(survey_prepared(spark, sf).select(*LABOUR_SURVEY.numeric)) as (rows,):
-        features, _, _ = prepare_kmeans_features(rows)
+        features, _ = prepare_kmeans_features(rows)
         return kmeans_sweep(features)[0]
 
 
 @query
 def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
-    features, _, _ = prepare_kmeans_features(survey_prepared(spark, sf))
-    _, models = kmeans_sweep(features, ks=(2,))
-    return segment_profile(models[2].transform(features))
+    """Profile of the segments of the best k of the sweep."""
+    with kept(survey_prepared(spark, sf).select(*LABOUR_SURVEY.numeric)) as (rows,):
+        features, _ = prepare_kmeans_features(rows)
+        scores, models = kmeans_sweep(features)
+        return settle(segment_profile(models[best_k(scores)].transform(features)))
 
 
 # --- samples and splits ------------------------------------------------------------
@@ -587,13 +594,13 @@ def split_by_hash(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sample_by_hash(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").drop("o_orderdate")
+    orders = table(spark, sf, "orders")
     return deterministic_sample(orders, max_rows=500, key_columns=["o_orderkey"])
 
 
 @query
 def sample_at_random(spark: SparkSession, sf: str) -> DataFrame:
-    return random_sample(table(spark, sf, "orders").drop("o_orderdate"), 500)
+    return random_sample(table(spark, sf, "orders"), 500)
 
 
 # --- model errors --------------------------------------------------------------------
@@ -665,7 +672,8 @@ def grouped_errors(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def brand_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Errors per brand; lines whose part is unknown form the unknown group."""
-    brands = table(spark, sf, "part").where("p_size > 10").select("p_partkey", "p_brand")
+    known = "CASE WHEN p_size > 10 THEN p_partkey ELSE -p_partkey END AS p_partkey"
+    brands = table(spark, sf, "part").selectExpr(known, "p_brand")
 
     def branded(rows: DataFrame) -> DataFrame:
         return rows.join(brands, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -742,8 +750,10 @@ def forest_sweep(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forest_importances(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = _train_and_validation(spark, sf)
-    model = pipeline_for(RF_CONFIGS[0], CHARGES).fit(train)
+    """Importances of the best forest of the sweep."""
+    train, validation = _train_and_validation(spark, sf)
+    metrics, models = sweep(train, validation, RF_CONFIGS, CHARGES)
+    model = models[best_config(metrics, RF_CONFIGS)["modelo"]]
     return feature_importance_table(model.stages[-1], model.transform(train))
 
 
@@ -754,13 +764,13 @@ def forest_importances_by_column(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def holdout_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Best linear configuration refitted on all earlier rows, scored on later ones."""
+    """The best of each sweep refitted on all earlier rows, scored on later ones."""
     rows = charges(spark, sf)
-    best = best_config(settle(_swept(spark, sf, LR_CONFIGS)), LR_CONFIGS)
+    best = {
+        name: best_config(settle(_swept(spark, sf, configs)), configs)
+        for name, configs in (("Linear Regression", LR_CONFIGS), ("Random Forest", RF_CONFIGS))
+    }
     with kept(rows.where("era = 'train'")) as (train,):
-        models = {
-            "Linear Regression": pipeline_for(best, CHARGES).fit(train),
-            "Random Forest": pipeline_for(RF_CONFIGS[0], CHARGES).fit(train),
-        }
+        models = {name: pipeline_for(config, CHARGES).fit(train) for name, config in best.items()}
     long = score_models(rows.where("era = 'test'"), models, ["charge"])
     return regression_metrics(long, "charge", by=["modelo"]).orderBy("RMSE")

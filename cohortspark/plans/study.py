@@ -41,7 +41,6 @@ from ..operators.quality import (
     missing_summary,
     period_counts,
     require_rows,
-    require_same_rows,
 )
 from ..operators.quantiles import quantile_cuts
 from ..operators.relate import correlation_matrix
@@ -114,7 +113,7 @@ def describe(training: DataFrame) -> dict[str, DataFrame]:
 
 def segment(training: DataFrame) -> dict[str, DataFrame]:
     """Silhouettes, profiles of the best segmentation and its composition."""
-    features, _, _ = prepare_kmeans_features(training)
+    features, _ = prepare_kmeans_features(training)
     scores, models = kmeans_sweep(features)
     segmented = models[best_k(scores)].transform(features)
     tables = {"kmeans_scores": scores, "cluster_profiles": segment_profile(segmented)}
@@ -152,7 +151,7 @@ def model(
     swept = {}
     for name, configs in (("lr", LR_CONFIGS), ("rf", RF_CONFIGS)):
         metrics, models = sweep(train, validation, configs)
-        metrics = settle(metrics)
+        metrics = settle(metrics).orderBy("RMSE", "modelo")
         best = best_config(metrics, configs)
         swept[name] = metrics, best, models[best["modelo"]]
     chosen = dict(zip(MODELS[1:], (swept["lr"][2], swept["rf"][2])))
@@ -170,16 +169,14 @@ def model(
             save_model(final[name], f"{folder}/{kind}_final")
 
     tested = _stacked(holdout, final, median, TEST)
-    for name in MODELS[1:]:
-        require_same_rows(tested.where(F.col("modelo") == name), holdout, SPEC.keys)
     by = ["modelo", "dataset"]
     both = settle(
         regression_metrics(validated, by=by).unionByName(regression_metrics(tested, by=by))
     )
     # Errors by group and band describe the fitted models only.
-    errors = with_residual(tested.where(F.col("modelo") != MODELS[0]), SPEC.target)
+    errors = settle(with_residual(tested.where(F.col("modelo") != MODELS[0]), SPEC.target))
     cuts = quantile_cuts(holdout, SPEC.target)
-    bands = settle(banded_error_metrics(errors, cuts))
+    bands = banded_error_metrics(errors, cuts)
     sample = deterministic_sample(holdout)
     points = score_models(sample, final, [*SPEC.keys, SPEC.target])
     forest = swept["rf"][2]

@@ -6,13 +6,13 @@ into a Spark table and into the SQL that checks it.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import apply_filters_with_audit
-from ..operators.relational import spread
+from ..operators.relational import shared_folder, spread
 from ..presets import LABOUR_SURVEY
 from ..sources.extracts import standardise
 from ..spec import DatasetSpec, FieldSpec
@@ -71,8 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a temporary one only where none is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cohortspark-")
+    """A folder of its own for each run, below the one that all executors share."""
+    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 def survey_text(spark: SparkSession, sf_dir: str) -> DataFrame:

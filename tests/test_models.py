@@ -3,6 +3,8 @@
 import math
 import random
 
+from dataclasses import replace
+
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -13,7 +15,6 @@ from cohortspark import (
     best_by,
     best_config,
     best_k,
-    build_random_forest_pipeline,
     dataset_deltas,
     evaluate_regression,
     feature_importance_table,
@@ -21,7 +22,7 @@ from cohortspark import (
     importance_by_column,
     kmeans_sweep,
     load_model,
-    make_supervised_pipeline,
+    model_pipeline,
     model_winners,
     prepare_kmeans_features,
     quantile_cuts,
@@ -63,8 +64,8 @@ def people(spark):
 
 
 def test_segments(people):
-    features, assembler, scaler = prepare_kmeans_features(people)
-    assert assembler.getInputCols() == list(LABOUR_SURVEY.numeric)
+    features, fitted = prepare_kmeans_features(people)
+    assert fitted.stages[0].getInputCols() == list(LABOUR_SURVEY.numeric)
     scores, models = kmeans_sweep(features)
     table = {r["k"]: r["silhouette"] for r in scores.collect()}
     assert list(table) == [2, 3, 4, 5] and best_k(scores) == max(table, key=table.get)
@@ -85,8 +86,8 @@ def test_segments(people):
 
 def test_cluster_inputs_are_guarded(spark, people):
     with pytest.raises(ValueError):
-        prepare_kmeans_features(people, ["edad", "salario_mensual"])
-    few, _, _ = prepare_kmeans_features(people.limit(4))
+        prepare_kmeans_features(people, replace(LABOUR_SURVEY, numeric=("edad", "salario_mensual")))
+    few, _ = prepare_kmeans_features(people.limit(4))
     with pytest.raises(ValueError, match="at least 6"):
         kmeans_sweep(few)
     z = scaled_columns(people.select("edad"), ["edad"]).agg(F.avg("edad_z"), F.stddev("edad_z")).first()
@@ -104,7 +105,7 @@ def test_sweep_importances_and_model_files(spark, people, tmp_path):
         alone = evaluate_regression(models[r["modelo"]].transform(validation))
         assert alone["RMSE"] == pytest.approx(r["RMSE"])
 
-    forest = build_random_forest_pipeline(num_trees=5, max_depth=4).fit(train)
+    forest = model_pipeline("forest", {"numTrees": 5, "maxDepth": 4}).fit(train)
     table = feature_importance_table(forest.stages[-1], forest.transform(train))
     values = table.collect()
     assert sum(r["importancia"] for r in values) == pytest.approx(1)
@@ -125,10 +126,8 @@ def test_sweep_importances_and_model_files(spark, people, tmp_path):
 
 
 def test_target_is_no_predictor():
-    from dataclasses import replace
-
     with pytest.raises(ValueError):
-        make_supervised_pipeline(None, replace(LABOUR_SURVEY, numeric=("salario_mensual",)))
+        model_pipeline("linear", {}, replace(LABOUR_SURVEY, numeric=("salario_mensual",)))
 
 
 @pytest.fixture(scope="module")

@@ -7,9 +7,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import cohortspark.operators.quantiles as quantiles
-import cohortspark.operators.relational as relational
-import cohortspark.operators.sample as sample
 from cohortspark import (
     categorical_distribution,
     correlation_long,
@@ -62,12 +59,7 @@ def check(got, rows):
             assert found[g, p] == (len(values), disc(values, p)), (g, p)
 
 
-@pytest.mark.parametrize("direct", [1_000_000, 10])
-@pytest.mark.parametrize("small", [20_000, 1])
-def test_exact_selection(spark, monkeypatch, direct, small):
-    """All routes: values looked at directly or level by level, tables small or joined."""
-    monkeypatch.setattr(quantiles, "_DIRECT_ROWS", direct)
-    monkeypatch.setattr(quantiles, "settle", lambda df: relational.settle(df, small))
+def test_exact_selection(spark):
     rows = hostile()
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     check(select_ranks(df, "v", PROBABILITIES, ["g"]).collect(), rows)
@@ -163,17 +155,19 @@ def hashed(df, n):
     return [r["k"] for r in deterministic_sample(df, max_rows=n, key_columns=["k"]).collect()]
 
 
-def test_samples_do_not_depend_on_partitions(spark, monkeypatch):
+def test_samples_do_not_depend_on_partitions(spark):
     df = spark.range(3_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"))
     digest = F.sha2(F.concat_ws("¦", F.lit("42"), F.coalesce(F.col("k").cast("string"), F.lit("<NULO>"))), 256)
     wanted = [r["k"] for r in df.orderBy(digest).limit(40).collect()]
     for partitions in (1, 4, 7):
         assert hashed(df.repartition(partitions), 40) == wanted
     assert len(hashed(df, 5_000)) == 3_000
-    monkeypatch.setattr(sample, "_CROWDED", 0)  # the route for crowded slots
-    assert hashed(df.repartition(6), 40) == wanted
     hot = df.limit(10).withColumn("k", F.lit(1)).unionByName(df)
     assert len(hashed(hot, 25)) == 25
+    shuffled = spark.range(0, 20_000, 1, 8).groupBy("id").count().drop("count")  # coalesced
+    for seed in range(20):
+        drawn = [r["id"] for r in random_sample(shuffled, 300, seed).collect()]
+        assert len(drawn) == 300 == len(set(drawn))
     drawn = random_sample(df, 17, seed=3).collect()
     assert len(drawn) == 17 == len(set(drawn)) and drawn == random_sample(df, 17, seed=3).collect()
 
