@@ -149,6 +149,7 @@ def main() -> None:
         .appName("bench")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("cohortspark.inputPartitions", CPUS)  # the test tables are single files
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -16,6 +16,7 @@ def spark():
     session = (
         configure(SparkSession.builder.master("local[8]"))
         .config("spark.sql.shuffle.partitions", "4")
+        .config("cohortspark.inputPartitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
