@@ -36,6 +36,19 @@ def _error(df: DataFrame, label: str, prediction: str) -> tuple[Column, Column]:
     return real, real - number_of(df, prediction)
 
 
+def _errors_by(
+    rows: DataFrame, groups: Sequence[str], names: Sequence[str], *more: Column
+) -> DataFrame:
+    """Named measures of the error ``__e`` for each group, and further aggregates."""
+    measures = {
+        "n": F.count("*"),
+        "MAE": F.avg(F.abs("__e")),
+        "RMSE": F.sqrt(F.avg(F.col("__e") * F.col("__e"))),
+        "error_medio": F.avg("__e"),
+    }
+    return rows.groupBy(*groups).agg(*[measures[n].alias(n) for n in names], *more)
+
+
 def regression_metrics(
     predictions: DataFrame,
     label_col: str = _TARGET,
@@ -50,11 +63,8 @@ def regression_metrics(
     real, error = _error(predictions, label_col, prediction_col)
     errors = predictions.select(*by, real.alias("__y"), error.alias("__e"))
     spread = F.var_pop("__y") * F.count("__y")
-    return errors.groupBy(*by).agg(
-        F.avg(F.abs("__e")).alias("MAE"),
-        F.sqrt(F.avg(F.col("__e") * F.col("__e"))).alias("RMSE"),
-        (1.0 - F.sum(F.col("__e") * F.col("__e")) / F.nullif(spread, F.lit(0.0))).alias("R2"),
-    )
+    explained = 1.0 - F.sum(F.col("__e") * F.col("__e")) / F.nullif(spread, F.lit(0.0))
+    return _errors_by(errors, by, ("MAE", "RMSE"), explained.alias("R2"))
 
 
 def evaluate_regression(
@@ -79,18 +89,14 @@ def grouped_error_metrics(
     An existing residual column is used. ``by`` is typically the model.
     """
     require_columns(predictions, [*by, group_col], "grouped_error_metrics")
-    if residual_col not in predictions.columns:
-        predictions = with_residual(predictions, label_col, prediction_col, residual_col)
-    group = F.coalesce(F.trim(F.col(group_col).cast("string")), F.lit(unknown))
-    return (
-        predictions.groupBy(*by, group.alias(group_col))
-        .agg(
-            F.count("*").alias("n"),
-            F.avg(F.abs(residual_col)).alias("MAE"),
-            F.avg(residual_col).alias("error_medio"),
-        )
-        .orderBy(*by, F.desc("n"), F.asc(group_col))
+    known = residual_col in predictions.columns
+    scored = predictions if known else with_residual(predictions, label_col, prediction_col, residual_col)
+    category = F.trim(F.col(group_col).cast("string"))
+    rows = scored.select(
+        *by, F.coalesce(category, F.lit(unknown)).alias(group_col), F.col(residual_col).alias("__e")
     )
+    table = _errors_by(rows, [*by, group_col], ("n", "MAE", "error_medio"))
+    return table.orderBy(*by, F.col("n").desc(), group_col)
 
 
 def banded_error_metrics(
@@ -114,17 +120,10 @@ def banded_error_metrics(
         error.alias("__e"),
     )
     groups = [*by, "banda_salario"]
-    measures = [
-        F.count("*").alias("n"),
-        F.avg("__y").alias("salario_medio"),
-        F.avg("__p").alias("prediccion_media"),
-        F.avg(F.abs("__e")).alias("MAE"),
-        F.sqrt(F.avg(F.col("__e") * F.col("__e"))).alias("RMSE"),
-        F.avg("__e").alias("error_medio"),
-    ]
+    means = [F.avg("__y").alias("salario_medio"), F.avg("__p").alias("prediccion_media")]
     if not exact:
-        measures.append(F.percentile_approx("__y", 0.5, accuracy).alias("salario_mediano"))
-    table = rows.groupBy(*groups).agg(*measures)
+        means.append(F.percentile_approx("__y", 0.5, accuracy).alias("salario_mediano"))
+    table = _errors_by(rows, groups, ("n", "MAE", "RMSE", "error_medio"), *means)
     if exact:
         medians = exact_quantiles(rows, "__y", {"salario_mediano": 0.5}, groups).drop("n")
         table = null_safe_join(table, medians, groups, "left")

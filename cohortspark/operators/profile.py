@@ -80,6 +80,10 @@ def descriptive_statistics(
     return table.orderBy(*by, "__at").select(*by, "variable", "n", *_DESCRIBED)
 
 
+#: Names of published medians that do not follow the rule.
+MEDIAN_NAMES = {LABOUR_SURVEY.target: "mediana_salario"}
+
+
 def median_by_group(
     df: DataFrame,
     group_columns: str | Sequence[str],
@@ -93,18 +97,13 @@ def median_by_group(
     groups = [group_columns] if isinstance(group_columns, str) else list(group_columns)
     if not groups:
         raise ValueError("at least one group column is needed")
-    if accuracy <= 0:
-        raise ValueError("accuracy must be a positive integer")
     require_columns(df, [*groups, value_column], "median_by_group")
-    alias = median_alias or (
-        "mediana_salario" if value_column == LABOUR_SURVEY.target else f"mediana_{value_column}"
-    )
-    values = df.select(*groups, finite_of(df, value_column).alias("__v")).where("__v IS NOT NULL")
+    name = median_alias or MEDIAN_NAMES.get(value_column, f"mediana_{value_column}")
+    finite = df.withColumn("__v", finite_of(df, value_column)).select(*groups, "__v").dropna(subset=["__v"])
     if exact:
-        return exact_quantiles(values, "__v", {alias: 0.5}, groups)
-    return values.groupBy(*groups).agg(
-        F.count("*").alias("n"), F.percentile_approx("__v", 0.5, accuracy).alias(alias)
-    )
+        return exact_quantiles(finite, "__v", {name: 0.5}, groups)
+    median = F.get(sketch_quantiles(F.col("__v"), [0.5], accuracy), F.lit(0))
+    return finite.groupBy(*groups).agg(F.count("__v").alias("n"), median.alias(name))
 
 
 def period_series(

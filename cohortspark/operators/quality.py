@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import is_finite, missing_of, number_of, to_code
 from ..functions.derive import years_and_months
-from ..presets import LABOUR_SURVEY, STEP_LABELS
+from ..presets import LABOUR_SURVEY
 from ..spec import Cascade, require_columns
 from .relational import percent
 
@@ -97,7 +97,7 @@ def audit_failures(flagged: DataFrame, cascade: Cascade, by: Sequence[str] = ())
         ],
     )
     start, zero = F.col("__total"), F.lit(0).cast("long")
-    labels = [(0, STEP_LABELS[0], zero)]
+    labels = [(0, cascade.start, zero)]
     labels += [(s.step, s.label, F.col(f"__s{s.step}")) for s in cascade.steps]
     rows = []
     for number, label, excluded in labels:

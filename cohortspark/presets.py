@@ -86,6 +86,7 @@ _CONDITIONS = {
 }
 
 SURVEY_CASCADE = Cascade(
+    start=STEP_LABELS[0],
     inputs={
         name: (name, kind)
         for kind, names in (

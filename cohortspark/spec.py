@@ -67,11 +67,13 @@ class Cascade:
     ``inputs`` maps an input name to ``(column name, kind)`` where kind is
     ``numeric`` or ``code``. ``duration`` optionally names three inputs
     ``(total, years, months)``; the total is derived when its column is absent.
+    ``start`` labels the count before the first step.
     """
 
     inputs: Mapping[str, tuple[str, str]]
     steps: tuple[FilterStep, ...]
     duration: tuple[str, str, str] | None = None
+    start: str = "inicio"
 
     def with_columns(self, mapping: Mapping[str, str] | None) -> "Cascade":
         """Copy of the cascade reading other column names."""
