@@ -10,7 +10,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: A word: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -171,6 +170,27 @@ def labelled(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     ).withColumn("component_id", F.coalesce("component", key)).drop("component")
 
 
-def schema_of(df: DataFrame, more: str) -> T.StructType:
-    """The frame's fields and further ones."""
-    return T.StructType(df.schema.fields + T._parse_datatype_string(more).fields)
+#: Bits of the filter in `thinned`: 512 bitmaps of 4096 bytes, 2 MB, whatever the data.
+_FILTER_BITS, _BITMAP = 1 << 24, 1 << 15
+
+
+def thinned(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is in the one column of `wanted`, and some others.
+
+    A bitmap of fixed size over hashes of the wanted keys is broadcast, so that a join
+    that follows need not shuffle the rest. With more wanted keys than bits all rows
+    pass; results do not depend on it.
+    """
+
+    def spot(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(_FILTER_BITS))
+
+    name = wanted.columns[0]
+    bits = wanted.select(spot(F.col(name)).alias("spot"))
+    bits = bits.groupBy(F.expr(f"spot div {_BITMAP}").alias("_bitmap"))
+    bits = written(bits.agg(F.bitmap_construct_agg(F.col("spot") % _BITMAP).alias("_bits")), "bits")
+    at = spot(F.col(key)) % _BITMAP
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bits), F.floor(spot(F.col(key)) / _BITMAP) == F.col("_bitmap"))
+    is_set = F.shiftrightunsigned(byte, 0).bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    return found.where(is_set).select(*rows.columns)

@@ -9,8 +9,8 @@ several rows share; overlaps are accumulated over the shared columns, and pairs
 sizes and positions bound their overlap below the threshold are discarded before texts
 are compared.
 
-Dense groups are contracted first: rows are compared with the first row of the columns
-they share, and linked rows become one component. The product then only takes pairs of
+Dense groups are contracted first: rows are compared with a few rows of the columns they
+share, and linked rows become one component. The product then only takes pairs of
 different components, so that a large group of near copies costs as many comparisons as
 it has rows, and yet no link between components is lost.
 
@@ -31,25 +31,34 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import components, free_shuffles, ship, written
+from cohortspark.llm.common import components, free_shuffles, ship, thinned, written
 from cohortspark.llm.shingles import batches, shingle_sets, signature
 
 _TABLE_BITS, _CHUNK = 20, 4096
+_MARKS = tuple(f"m{i}" for i in range(8))
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
+_TURNS, _DRAWN = 1, 4  # contractions, and rows that stand for a column in them
 _GROUP = 1000  # comparisons with one row that a task takes at once
 
 
 # --- facts of every document and the frequency table --------------------------------
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the number of hashes that fall on it. Two sets differ
+    in at least as many shingles as their parities do in bits."""
+    bits = np.bincount((hashes & np.uint64(511)).astype(np.int64), minlength=512).astype(np.uint8) & 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _facts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Size and signature of every set; at the end the partition's frequencies."""
     counts = np.zeros(1 << _TABLE_BITS, dtype=np.int64)
     seen = False
     for frame in frames:
         texts = frame["text"].tolist()
-        sizes, first, second = [], [], []
+        sizes, first, second, marks = [], [], [], []
         for low, high in batches(texts):
             sets = shingle_sets(texts[low:high])
             for s in sets:
@@ -57,16 +66,19 @@ def _facts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 sizes.append(len(s))
                 first.append(a)
                 second.append(b)
+                marks.append(parity(s))
             whole = np.concatenate(sets)
             counts += np.bincount((whole >> np.uint64(64 - _TABLE_BITS)).astype(np.int64), minlength=len(counts))
             seen = True
-        yield pd.DataFrame({"id": frame["id"], "n": sizes, "c1": first, "c2": second, "chunk": -1, "counts": None})
+        out = pd.DataFrame({"id": frame["id"], "n": sizes, "c1": first, "c2": second, "chunk": -1, "counts": None})
+        table = np.array(marks, dtype=np.int64).reshape(-1, len(_MARKS))
+        yield out.assign(**{m: table[:, i] for i, m in enumerate(_MARKS)})
     if seen:
         parts = counts.reshape(-1, _CHUNK)
         packed = [zlib.compress(p.astype(np.int64).tobytes(), 1) for p in parts]
-        yield pd.DataFrame(
-            {"id": pd.array([None] * len(parts), dtype="Int64"), "n": 0, "c1": 0, "c2": 0, "chunk": np.arange(len(parts)), "counts": packed}
-        )
+        none = pd.array([None] * len(parts), dtype="Int64")
+        zeros = dict.fromkeys(["n", "c1", "c2", *_MARKS], 0)
+        yield pd.DataFrame({"id": none, **zeros, "chunk": np.arange(len(parts)), "counts": packed})
 
 
 def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,8 +92,9 @@ def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def document_facts(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
-    """(id, n, c1, c2) of every row of (id, text), the frequency classes, and the total."""
-    schema = "id long, n long, c1 long, c2 long, chunk int, counts binary"
+    """(id, n, c1, c2, marks) of every row of (id, text), the frequency classes, and the total."""
+    marks = "".join(f"{m} long, " for m in _MARKS)
+    schema = f"id long, n long, c1 long, c2 long, {marks}chunk int, counts binary"
     table = written(docs.select("id", "text").mapInPandas(_facts, schema), "facts")
     summed = table.where("chunk >= 0").select("chunk", "counts").repartition("chunk")
     rows = summed.mapInPandas(_added, "chunk int, counts binary").collect()  # 2^20 numbers
@@ -89,7 +102,7 @@ def document_facts(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
     for row in rows:
         counts[row["chunk"]] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64)
     classes = np.ceil(2 * np.log2(counts.ravel() + 1)).astype(np.uint8)
-    return table.where("chunk < 0").select("id", "n", "c1", "c2"), classes, int(counts.sum())
+    return table.where("chunk < 0").select("id", "n", "c1", "c2", *_MARKS), classes, int(counts.sum())
 
 
 # --- the shared part of the prefixes ------------------------------------------------
@@ -219,24 +232,32 @@ def _sizes_fit(a: str, b: str) -> Column:
 def _current(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     """Entries with their component, of the columns that several components share."""
     if found is None:
-        rows = entries.withColumn("comp", F.col("row"))
-    else:
-        of = found.select(F.col("vertex").alias("row"), F.col("component"))
-        rows = entries.join(of, "row", "left").withColumn("comp", F.coalesce("component", "row")).drop("component")
+        return entries.withColumn("comp", F.col("row"))  # several rows, several components
+    of = found.select(F.col("vertex").alias("row"), F.col("component"))
+    rows = entries.join(of, "row", "left").withColumn("comp", F.coalesce("component", "row")).drop("component")
     ends = rows.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     return written(rows.join(ends.where("low < high").select("g"), "g"), "current")
 
 
-def star_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): each row b with the first row a of most of the columns it shares, if that
-    is a third of its prefix. Only a head start: what it leaves out, the product finds."""
-    first = rows.groupBy("g").agg(F.min(F.struct("row", "n", "comp")).alias("z"))
+def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each component one pair of a row b of it with a row a of another one.
+
+    A few rows stand for each column: its first row in turn 0, then rows drawn by hash.
+    Of the pairs they make, a component takes the one that shares most columns, if those
+    are a third of a prefix. Only a head start: what it leaves out, the product finds.
+    """
+    whole = ("row", "n", "comp")
+    if turn:
+        drawn = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "row").alias("spot"), *whole)) for k in range(_DRAWN)]
+        first = rows.groupBy("g").agg(F.array_distinct(F.array(*drawn)).alias("z")).select("g", F.explode("z").alias("z"))
+    else:
+        first = rows.groupBy("g").agg(F.min(F.struct(*whole)).alias("z"))
     near = rows.join(first, "g").where(F.col("comp") != F.col("z.comp"))
     near = near.withColumns({"a": F.col("z.row"), "na": F.col("z.n")}).where(_sizes_fit("n", "na"))
-    met = near.groupBy("row", "n", "a").agg(F.count("*").alias("met"))
+    met = near.groupBy("row", "n", "comp", "a").agg(F.count("*").alias("met"))
     met = met.where(F.col("met") * 12 >= F.col("n"))
-    best = met.groupBy("row").agg(F.max(F.struct("met", "a")).alias("best"))
-    return written(best.select(F.col("best.a").alias("a"), F.col("row").alias("b")), "stars")
+    best = met.groupBy("comp").agg(F.max(F.struct("met", "a", "row")).alias("best"))
+    return written(best.select(F.col("best.a").alias("a"), F.col("best.row").alias("b")), "stars")
 
 
 def product_pairs(rows: DataFrame) -> DataFrame:
@@ -245,15 +266,21 @@ def product_pairs(rows: DataFrame) -> DataFrame:
     The common columns of a pair's prefixes are counted; what follows the last of them
     is bounded by what is left of either set. 7 * overlap >= 3 * (sizes) is Jaccard 3/4.
     """
-    left = rows.select("g", F.col("row").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-    right = rows.select("g", F.col("row").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
+    def side(x: str) -> DataFrame:
+        named = {"row": x, "n": f"n{x}", "pos": f"p{x}", "comp": f"c{x}"} | {m: f"{m}{x}" for m in _MARKS}
+        return rows.select("g", *[F.col(old).alias(new) for old, new in named.items()])
+
+    left, right = side("a"), side("b")
     need = (F.col("na") + F.col("nb")) * 3
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb")
-    # at the first common column nothing is counted yet, at later ones no more than the
-    # smaller position
+    # sets of these sizes share a column among their first n - need / 7 + 1 ones; before a
+    # common column no more are common than the smaller position
+    tight = ((F.col("na") - F.col("pa")) * 7 >= need) & ((F.col("nb") - F.col("pb")) * 7 >= need)
     early = (rest + F.least("pa", "pb")) * 7 >= need
-    met = left.join(right, "g").where(fits & early)
+    # and sets that reach the threshold differ in (na + nb) / 7 shingles at most
+    differ = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in _MARKS), F.lit(0))
+    met = left.join(right, "g").where(fits & tight & early & (differ * 7 <= F.col("na") + F.col("nb")))
     sums = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     return written(sums.where((F.col("met") + rest - 1) * 7 >= need).select("a", "b"), "pairs")
 
@@ -316,29 +343,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     facts, classes, total = document_facts(plain)
-    sets = facts.where("n > 0 and id is not null").groupBy("c1", "c2").agg(F.min("id").alias("row"))
+    some = [F.first(m).alias(m) for m in _MARKS]
+    sets = facts.where("n > 0 and id is not null").groupBy("c1", "c2").agg(F.min("id").alias("row"), *some)
     sets = written(sets, "sets")
     shared = shared_prefixes(plain, classes, total)
     free_shuffles(spark)
-    entries = written(shared.join(sets, ["c1", "c2"]).select("g", "row", F.col("n").cast("long").alias("n"), "pos"), "entries")
+    names = sets.select("c1", "c2", "row")
+    entries = shared.join(names, ["c1", "c2"]).groupBy("g", "row")
+    entries = written(entries.agg(F.first("n").cast("long").alias("n"), F.first("pos").alias("pos")), "entries")
     free_shuffles(spark)
 
     links, found = None, None
-    texts = None
-    for turn in ("star", "star", "product"):
+    for turn in range(_TURNS + 1):
         rows = _current(entries, found)
-        if turn == "star":
-            pairs = star_pairs(rows)
+        if turn < _TURNS:
+            pairs = star_pairs(rows, turn)
         else:
-            pairs = product_pairs(rows)
+            pairs = product_pairs(rows.join(sets.select("row", *_MARKS), "row"))
         wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-        texts = plain.withColumnRenamed("id", "row").join(wanted, "row").dropDuplicates(["row"])
+        wanted = written(wanted, "wanted")
+        texts = thinned(plain.withColumnRenamed("id", "row"), "row", wanted)
+        texts = texts.join(wanted, "row").dropDuplicates(["row"])
         texts = written(texts.select("row", "text"), "texts")
         new = compared(pairs, texts)
         free_shuffles(spark)
         links = new if links is None else links.unionByName(new)
         found = components(links)
-    out = facts.join(sets, ["c1", "c2"], "left")
+    out = facts.select("id", "n", "c1", "c2").join(names, ["c1", "c2"], "left")
     out = out.join(found.withColumnRenamed("vertex", "row"), "row", "left")
     grouped = F.coalesce("component", "row")
     return out.select(
