@@ -99,8 +99,67 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_COMPONENTS = """
+    reach(a, b) AS (
+        SELECT a, b FROM linked
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+    ),
+    lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
+        "op2_near_vectors": f"""
+            WITH RECURSIVE usable AS (
+                SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x
+                FROM embeddings
+                WHERE label IS NOT NULL
+                  AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+                  AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+            ),
+            linked AS (
+                SELECT p.vec_id AS a, q.vec_id AS b
+                FROM usable p JOIN usable q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+                WHERE list_cosine_similarity(p.x, q.x) >= 0.93
+            ),
+            {_COMPONENTS},
+            counted AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+            SELECT vec_id,
+                   coalesce(n, 0) AS n_links,
+                   least(vec_id, coalesce(low, vec_id)) AS component_id,
+                   vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+            FROM embeddings LEFT JOIN counted c ON c.a = vec_id LEFT JOIN lowest l ON l.a = vec_id
+        """,
+        "op9_ngram_join": f"""
+            WITH RECURSIVE worded AS (
+                SELECT doc_id,
+                       regexp_extract_all(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\\x20\\x09-\\x0D]+'
+                       ) AS w
+                FROM documents
+            ),
+            sets AS (
+                SELECT doc_id,
+                       CASE WHEN len(w) = 0 THEN []
+                            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                            ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                       END AS s
+                FROM worded
+            ),
+            incidence AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+            linked AS (
+                SELECT p.doc_id AS a, q.doc_id AS b
+                FROM incidence p JOIN incidence q ON p.g = q.g AND p.doc_id <> q.doc_id
+                GROUP BY ALL
+                HAVING 100 * count(*) >= 75 * (any_value(p.n) + any_value(q.n) - count(*))
+            ),
+            {_COMPONENTS}
+            SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+            FROM sets LEFT JOIN lowest ON a = doc_id
+        """,
         "op10_exact_dedup": """
             SELECT doc_id,
                    max(doc_id) OVER same AS keep_id,

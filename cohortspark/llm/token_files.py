@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortspark.llm.common import ship, written
 from cohortspark.llm.shingles import mix
@@ -109,10 +110,23 @@ def materialise(
     texts = docs.select(text_col).rdd
     stride = length * np.dtype(ids.dtype).itemsize
 
-    def counted(part: int, rows) -> Iterator[tuple[int, int]]:
-        yield part, sum(1 for _ in _sequences((r[0] for r in rows), ids, length))
+    def counted(part: int, rows) -> Iterator[tuple[int, int, int]]:
+        seen = 0
 
-    counts = dict(texts.mapPartitionsWithIndex(counted).collect())  # a number for each partition
+        def real() -> Iterator[str]:
+            nonlocal seen
+            for (text,) in rows:
+                if text:
+                    seen += 1
+                    yield text
+
+        sequences = sum(1 for _ in _sequences(real(), ids, length))
+        yield part, sequences, seen
+
+    found = texts.mapPartitionsWithIndex(counted).collect()  # two numbers for each partition
+    if sum(n for _, _, n in found) != docs.where(F.col(text_col) != "").count():
+        raise ValueError("the input changed between two reads; write it to a table first")
+    counts = {part: n for part, n, _ in found}
     begins, total = {}, 0
     for part in sorted(counts):
         begins[part] = total
