@@ -443,7 +443,7 @@ def all_oracles() -> dict[str, str]:
         "split_by_hash": f"""SELECT o_orderkey,
             CASE WHEN {_UNIT.format(keys='CAST(o_orderkey AS VARCHAR)')} < 0.8 THEN 'train'
             ELSE 'validation' END AS parte FROM orders""",
-        "sample_by_hash": f"""SELECT * EXCLUDE (o_orderdate) FROM orders
+        "sample_by_hash": f"""SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders
             ORDER BY {_DIGEST.format(keys='CAST(o_orderkey AS VARCHAR)')} LIMIT 500""",
         "model_comparison": f"""WITH {_METRICS} SELECT modelo, dataset, {_r('"MAE"')} AS "MAE",
             {_r('"RMSE"')} AS "RMSE", {_r('"R2"')} AS "R2" FROM metrics""",

@@ -571,7 +571,8 @@ def silhouette_sweep(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Profile of the segments of the best k of the sweep."""
-    with kept(survey_prepared(spark, sf).select(*LABOUR_SURVEY.numeric)) as (rows,):
+    columns = [*LABOUR_SURVEY.numeric, LABOUR_SURVEY.target]
+    with kept(survey_prepared(spark, sf).select(*columns)) as (rows,):
         features, _ = prepare_kmeans_features(rows)
         scores, models = kmeans_sweep(features)
         return settle(segment_profile(models[best_k(scores)].transform(features)))
@@ -594,7 +595,8 @@ def split_by_hash(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sample_by_hash(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", day)
     return deterministic_sample(orders, max_rows=500, key_columns=["o_orderkey"])
 
 
