@@ -44,8 +44,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives this package to the executors' Python workers, once for each session."""
+    """Gives this package to the executors' Python workers, once for each session.
+
+    Batches of texts for Python are made smaller, unless the session has chosen their
+    size: several copies of a batch exist at a time in each worker.
+    """
     context = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "1000")
     if getattr(context, "_cohortspark_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]

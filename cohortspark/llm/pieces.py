@@ -33,7 +33,7 @@ from cohortspark.llm.common import ship
 
 MARK = "▁"
 _LARGEST_MODEL = 64 << 20
-_KEPT = 250_000
+_KEPT = 200_000
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 _UNIGRAM, _BPE = 1, 2
 _FAR = float("inf")
@@ -147,6 +147,10 @@ class Transducer:
             bytes([int(p[3:5], 16)]) if k == _BYTE else p.replace(MARK, " ").encode() if k == _NORMAL else b""
             for p, k in zip(model.pieces, model.kinds, strict=True)
         ]
+        # the same one after the other, with nothing for an unknown id
+        self.flat = np.frombuffer(b"".join(self.text_of), dtype=np.uint8)
+        self.flat_size = np.array([*map(len, self.text_of), 0])
+        self.flat_begin = np.cumsum(self.flat_size) - self.flat_size
 
     def parts(self) -> str:
         """A regex for the parts that no piece crosses the borders of.
@@ -216,36 +220,53 @@ class Transducer:
         of a BPE arc is 0 then, else infinity."""
         return self.merged(last + piece) == ([last, piece] if last else [piece])
 
+    def arcs_of(self, before: str) -> dict[str, bool]:
+        """What is known of the arcs of the state that remembers `before`."""
+        if len(self.known) >= _KEPT:
+            self.known.clear()
+        return self.known.setdefault(before, {})
+
     def finite(self, part: str) -> list[str]:
-        """The path of finite weight for BPE; each position is reached by one piece."""
+        """The path of finite weight for BPE, searched depth first, longest piece first.
+
+        Every beginning of the part has one such path, so that a position from which the
+        end was not reached need not be tried again.
+        """
         n, begins, known = len(part), self.begins, self.known
-        last: list[str | None] = [None] * (n + 1)
-        last[0] = ""
-        for at in range(n):
-            before = last[at]
-            if before is None:
-                continue
+        path: list[str] = []
+        ends: list[list[int]] = []  # for each piece of the path, where it could end too
+        at, before, dead = 0, "", set()
+        todo: list[int] | None = None
+        while at < n:
+            if todo is None:
+                todo = [at + 1]
+                for end in range(at + 1, n + 1):
+                    arc = begins.get(part[at:end])
+                    if arc is None:
+                        break
+                    if arc and end > at + 1:
+                        todo.append(end)
             arcs = known.get(before)
             if arcs is None:
-                if len(known) >= _KEPT:
-                    known.clear()
-                arcs = known[before] = {}
-            for end in range(at + 1, n + 1):
+                arcs = self.arcs_of(before)
+            while todo:
+                end = todo.pop()
+                if end in dead:
+                    continue
                 piece = part[at:end]
-                arc = begins.get(piece)
-                if last[end] is None and (arc or end == at + 1):
-                    joins = arcs.get(piece)
-                    if joins is None:
-                        joins = arcs[piece] = self.joins(before, piece)
-                    if joins:
-                        last[end] = piece
-                if arc is None:
+                joins = arcs.get(piece)
+                if joins is None:
+                    joins = arcs[piece] = self.joins(before, piece)
+                if joins:
+                    path.append(piece)
+                    ends.append(todo)
+                    at, before, todo = end, piece, None
                     break
-        out = []
-        while n:
-            out.append(last[n])
-            n -= len(last[n])
-        return out[::-1]
+            else:
+                dead.add(at)
+                at -= len(path.pop())
+                todo, before = ends.pop(), path[-1] if path else ""
+        return path
 
     def cheapest(self, part: str) -> list[str]:
         """The shortest path for a unigram model."""
@@ -294,6 +315,25 @@ class Transducer:
         return raw.decode("utf-8", "replace")
 
 
+    def decoded_batch(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """The texts of rows with so many of the ids each."""
+        ids = np.where((ids >= 0) & (ids < len(self.text_of)), ids, len(self.text_of)).astype("i8")
+        sizes = self.flat_size[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.empty(int(ends[-1]), dtype=np.uint8)
+        for low in range(0, len(ids), 1 << 20):  # the temporary arrays stay small
+            high = min(len(ids), low + (1 << 20))
+            own = sizes[low:high]
+            shift = self.flat_begin[ids[low:high]] - (ends[low:high] - ends[low])
+            out[ends[low] : ends[high]] = self.flat[np.repeat(shift, own) + np.arange(int(own.sum()))]
+        bound = ends[np.concatenate([[0], np.cumsum(lengths)])]
+        begin, end = bound[:-1].copy(), bound[1:]
+        if self.model.leading and len(out):
+            begin += (begin < end) & (out[np.minimum(begin, len(out) - 1)] == 32)
+        raw = out.tobytes()
+        return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.string())
+
+
 class Codec:
     """Encoding and decoding as column functions; the model travels as a broadcast."""
 
@@ -326,7 +366,8 @@ class Codec:
         @F.arrow_udf("string")
         def text(rows: pa.Array) -> pa.Array:
             codec = compiled(path, model)
-            return pa.array([codec.decoded(r.values.tolist() if r.is_valid else []) for r in rows], pa.string())
+            lengths = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            return codec.decoded_batch(rows.flatten().to_numpy(zero_copy_only=False), lengths)
 
         return text(ids)
 

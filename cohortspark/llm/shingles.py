@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WIDTH = 5
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 _U = np.uint64
 
 
@@ -91,7 +91,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def batches(texts, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def batches(texts, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about `limit` characters, one row at least."""
     low, size = 0, 0
     for i, t in enumerate(texts):
