@@ -36,6 +36,7 @@ from cohortspark.llm.shingles import batches, shingle_sets, signature
 
 _TABLE_BITS, _CHUNK = 20, 4096
 _MARKS = tuple(f"m{i}" for i in range(8))
+_MARKED = 1000  # larger sets fill 512 bits, so that these bound nothing
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
 _TURNS, _DRAWN = 1, 4  # contractions, and rows that stand for a column in them
@@ -267,8 +268,9 @@ def product_pairs(rows: DataFrame) -> DataFrame:
     is bounded by what is left of either set. 7 * overlap >= 3 * (sizes) is Jaccard 3/4.
     """
     def side(x: str) -> DataFrame:
-        named = {"row": x, "n": f"n{x}", "pos": f"p{x}", "comp": f"c{x}"} | {m: f"{m}{x}" for m in _MARKS}
-        return rows.select("g", *[F.col(old).alias(new) for old, new in named.items()])
+        named = {"row": x, "n": f"n{x}", "pos": f"p{x}", "comp": f"c{x}"}
+        marks = [F.when(F.col("n") <= _MARKED, F.col(m)).otherwise(0).alias(f"{m}{x}") for m in _MARKS]
+        return rows.select("g", *[F.col(old).alias(new) for old, new in named.items()], *marks)
 
     left, right = side("a"), side("b")
     need = (F.col("na") + F.col("nb")) * 3
@@ -280,7 +282,9 @@ def product_pairs(rows: DataFrame) -> DataFrame:
     early = (rest + F.least("pa", "pb")) * 7 >= need
     # and sets that reach the threshold differ in (na + nb) / 7 shingles at most
     differ = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in _MARKS), F.lit(0))
-    met = left.join(right, "g").where(fits & tight & early & (differ * 7 <= F.col("na") + F.col("nb")))
+    marked = F.greatest("na", "nb") <= _MARKED
+    close = F.when(marked, differ * 7 <= F.col("na") + F.col("nb")).otherwise(True)
+    met = left.join(right, "g").where(fits & tight & early & close)
     sums = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     return written(sums.where((F.col("met") + rest - 1) * 7 >= need).select("a", "b"), "pairs")
 
