@@ -59,7 +59,7 @@ def op4_pieces(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFra
 
 
 def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), keys="grams")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
