@@ -79,9 +79,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_sha256", F.sha2("spans", 256))
 
 
-def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_token_files(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return token_files.materialise(docs, new_folder(spark, "shards"), token_files.ByteIds())
+    ids = token_files.PieceIds(pieces.Codec(spark, model))
+    return token_files.materialise(docs, new_folder(spark, "shards"), ids)
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
