@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import exact, lines, mixture, ngram_join, pieces, quality, secret_scan, shards, token_files, vectors
+from cohortspark.llm import (
+    alignment, exact, lines, mixture, ngram_join, pieces, quality, resample, secret_scan, shards, token_files, topk, vectors,
+)
 from cohortspark.llm.common import new_folder, text_of, word_count, written
 
 
 #: A SentencePiece model; its place is a parameter of the queries that use it.
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: A byte-level BPE as a tokenizers file.
+BYTE_BPE = os.environ.get("BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,13 +97,47 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.probe(table(spark, sf_dir, "documents"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resample.resample(docs, target, percent=5, min_words=20)
+
+
+def op12_align_tokens(spark: SparkSession, sf_dir: str, byte_bpe: str = BYTE_BPE, model: str = PIECES) -> DataFrame:
+    a, b = alignment.byte_level(byte_bpe), alignment.piece_model(model)
+    aligned = alignment.align(table(spark, sf_dir, "documents"), a, b, digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op5_fuzzy_lines, op6_quality, op7_secret_scan, op8_token_files, op9_ngram_join, op10_exact_dedup)
+        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op5_fuzzy_lines, op6_quality, op7_secret_scan, op8_token_files, op9_ngram_join, op10_exact_dedup, op11_resample, op12_align_tokens, op13_exact_topk)
     }
 
 
+#: crc32 in SQL: the shifted remainders of the 256 bytes, and a fold over a text's bytes.
+_CRC = """
+    remainders AS (
+        SELECT list(c ORDER BY b) AS t
+        FROM (
+            SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS b)
+        )
+    ),
+    checksums AS (
+        SELECT f, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(
+                       regexp_extract_all(hex(encode(f)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+        FROM (SELECT DISTINCT f FROM features), remainders
+    )
+"""
+
 _COMPONENTS = """
     reach(a, b) AS (
         SELECT a, b FROM linked
@@ -161,6 +199,83 @@ def llm_oracles() -> dict[str, str]:
             SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
             FROM sets LEFT JOIN lowest ON a = doc_id
         """,
+        "op11_resample": f"""
+            WITH texts AS (
+                SELECT 0 AS side, row_number() OVER () AS id, doc_id, text FROM documents
+                UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+            ),
+            worded AS (
+                SELECT side, id, doc_id, regexp_extract_all(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+                FROM texts
+            ),
+            features AS (
+                SELECT side, id, unnest(w) AS f FROM worded
+                UNION ALL
+                SELECT side, id, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM worded
+                UNION ALL
+                SELECT side, id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM worded
+            ),
+            {_CRC},
+            bucketed AS (
+                SELECT side, id, crc % 10000 AS bucket, count(*) AS n
+                FROM features JOIN checksums USING (f) GROUP BY ALL
+            ),
+            totals AS (
+                SELECT CAST(coalesce(sum(n) FILTER (side = 0), 0) AS DOUBLE) + 10000 AS s_all,
+                       CAST(coalesce(sum(n) FILTER (side = 1), 0) AS DOUBLE) + 10000 AS t_all
+                FROM bucketed
+            ),
+            gains AS (
+                SELECT bucket, CAST(floor(1000 * ln(
+                           (t + 1) * any_value(s_all) / ((s + 1) * any_value(t_all)))) AS BIGINT) AS gain
+                FROM (
+                    SELECT bucket, CAST(coalesce(sum(n) FILTER (side = 0), 0) AS DOUBLE) AS s,
+                           CAST(coalesce(sum(n) FILTER (side = 1), 0) AS DOUBLE) AS t
+                    FROM bucketed GROUP BY bucket
+                ), totals
+                GROUP BY bucket, s, t
+            ),
+            weights AS (
+                SELECT id, CAST(sum(n * gain) AS BIGINT) AS weight, CAST(sum(n) AS BIGINT) AS n_features
+                FROM bucketed JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+            ),
+            scored AS (
+                SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                       coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                           (CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296
+                       ))) AS BIGINT) AS score
+                FROM worded LEFT JOIN weights USING (id) WHERE side = 0
+            ),
+            ranked AS (
+                SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+                       5 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS drawn
+                FROM scored
+            )
+            SELECT doc_id, n_features, weight, score,
+                   CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank
+            FROM ranked
+        """,
+        "op13_exact_topk": """
+            WITH usable AS (
+                SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                  AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+            ),
+            scored AS (
+                SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                       CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+                FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+                WHERE q.vec_id % 50 = 0
+            )
+            SELECT query_id,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored
+            QUALIFY rank <= 5
+        """,
         "op10_exact_dedup": """
             SELECT doc_id,
                    max(doc_id) OVER same AS keep_id,
