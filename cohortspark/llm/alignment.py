@@ -16,9 +16,9 @@ arrays; the overlaps of all other pairs are joined with the counts.
 
 Cases: texts that are null or empty, and texts that one of the tokenizers does not
 reproduce, have no tokens: numbers are 0 and the groups empty; rows that repeat an id or a
-text are texts of their own; very long texts are encoded in slices cut between two ASCII
-words, which neither tokenizer joins (a model with pieces across words is not sliced); an
-empty table gives an empty result; other columns are ignored, whatever their names.
+text are texts of their own; very long texts are encoded in chunks (but for models with
+pieces across words); an empty table gives an empty result; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -42,10 +43,10 @@ from cohortspark.llm.shingles import batches as text_batches
 MARK = "▁"
 WORK = 1 << 15
 HOT_PAIRS = 1 << 20
-_SLICE = 1 << 20
 _LINKS = 1 << 18
 _RUN = 1 << 21
-_CUT = re.compile("(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+_EDGE = "[!-~\u00c0-\u024f]"
+_CUT = re.compile(f"(?<={_EDGE}) (?={_EDGE})")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -87,7 +88,8 @@ class ByteLevel(_File):
             out[i] = bytes(letters[c] for c in token)
         return out
 
-    sliceable = True
+    #: Words are cut before a single space, so no token goes across it.
+    splits = True
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of a space and each text."""
@@ -114,7 +116,8 @@ class Pieces(_File):
         ]
 
     @cached_property
-    def sliceable(self) -> bool:
+    def splits(self) -> bool:
+        """Whether no piece goes across a space, so that merges do not either."""
         return not any(b" " in t.lstrip(b" ") for t in self.table)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -129,24 +132,62 @@ def piece_model(path: str) -> Pieces:
     return Pieces(Path(path).read_bytes())
 
 
-def sliced(text: str, size: int | None = None) -> list[str]:
-    """The text cut at spaces between ASCII letters or digits, which are left out."""
-    size = size or _SLICE
-    out, low = [], 0
-    while low + size < len(text):
-        cut = _CUT.search(text, low + size)
-        if not cut:
-            break
-        out.append(text[low : cut.start()])
-        low = cut.end()
-    return [*out, text[low:]]
+class Encoder:
+    """Encodes texts as chunks, and remembers the ids of chunks that it met lately.
 
+    A text is cut at single spaces between two letters, digits or signs of Latin scripts.
+    Neither tokenizer joins what is on both sides of one, so that the chunks' ids, each
+    with its space before it, are the text's ids. Most chunks are words, and repeat; new
+    ones are encoded as one text.
+    """
+
+    def __init__(self, tokenizer, chunks: int = 1 << 17, longest: int = 48):
+        self.tokenizer, self.chunks, self.longest = tokenizer, chunks, longest
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+        self.lengths = np.array([len(t) for t in tokenizer.table])
+
+    def __call__(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """The ids of each text with a space before it, or none for a text of which they
+        are not the bytes."""
+        known = self.known
+        wanted = set(chain.from_iterable(texts)).difference(known)
+        again = {c for c in wanted if c in self.older}
+        known.update((c, self.older[c]) for c in again)
+        new = wanted.difference(again)
+        ends = {c for chunks in texts for c in (chunks[0], chunks[-1])} & new
+        known.update(self._singly(list(ends)))
+        known.update(self._together(list(new - ends)))
+        lost = {c for c in new if known[c] is None}
+        out = [
+            np.frombuffer(b"".join(map(known.__getitem__, chunks)), dtype="<u4") if not lost or lost.isdisjoint(chunks) else None
+            for chunks in texts
+        ]
+        for chunk in [c for c in new if len(c) > self.longest or c in lost]:
+            del known[chunk]
+        if len(known) > self.chunks:
+            self.known, self.older = {}, known
+        return out
+
+    def _checked(self, chunk: str, ids: list[int]) -> bytes | None:
+        same = b"".join(map(self.tokenizer.table.__getitem__, ids)) == f" {chunk}".encode()
+        return np.array(ids, dtype="<u4").tobytes() if same else None
+
+    def _singly(self, chunks: list[str]) -> dict[str, bytes | None]:
+        return {c: self._checked(c, ids) for c, ids in zip(chunks, self.tokenizer.encode(chunks), strict=True)}
 
-def encoded(tokenizer, texts: list[str]) -> list[np.ndarray]:
-    """The ids of each text with a space before it."""
-    parts = [sliced(t) if tokenizer.sliceable else [t] for t in texts]
-    ids = iter(tokenizer.encode([p for ps in parts for p in ps]))
-    return [np.array([i for _ in ps for i in next(ids)], dtype=np.int64) for ps in parts]
+    def _together(self, chunks: list[str]) -> dict[str, bytes | None]:
+        """The ids of chunks that stood between two others, encoded as one text."""
+        if not chunks:
+            return {}
+        text = " ".join(chunks)
+        ids = self._checked(text, self.tokenizer.encode([text])[0])
+        if ids is None:
+            return self._singly(chunks)
+        begins = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        ends = np.cumsum(self.lengths[np.frombuffer(ids, dtype="<u4")])
+        upto = [0, *(4 * (np.searchsorted(ends, begins) + 1)).tolist()]
+        return {c: ids[low:high] for c, low, high in zip(chunks, upto, upto[1:])}
 
 
 def id_code(tokenizer) -> str:
@@ -248,13 +289,13 @@ class Aligner:
             a, b = shared.value
             lengths = [np.array([len(t) for t in v.table]) for v in (a, b)]
             codes = [id_code(v) for v in (a, b)]
+            encoders = Encoder(a), Encoder(b)
+            split = _CUT.split if a.splits and b.splits else lambda text: [text]
 
-            def of(text: str, ids: list[np.ndarray]) -> Iterator[tuple]:
-                whole = f" {text}".encode()
-                for side, tokenizer in enumerate((a, b)):
-                    if not text or b"".join(map(tokenizer.table.__getitem__, ids[side].tolist())) != whole:
-                        yield 0, 1, 0, 0, 0, 0, b"", b""
-                        return
+            def of(text: str, ids: tuple[np.ndarray | None, ...]) -> Iterator[tuple]:
+                if not text or any(i is None for i in ids):
+                    yield 0, 1, 0, 0, 0, 0, b"", b""
+                    return
                 ends = [np.cumsum(n[i]) for n, i in zip(lengths, ids, strict=True)]
                 cuts = diagonal_splits(*ends, work)
                 for p in range(len(cuts[0]) - 1):
@@ -267,9 +308,10 @@ class Aligner:
 
             for batch in batches:
                 row, doc_id, texts = (batch.column(i).to_pylist() for i in range(3))
-                for low, high in text_batches(texts, 1 << 18):
+                for low, high in text_batches(texts, 1 << 19):
                     some = [t or "" for t in texts[low:high]]
-                    ids = zip(encoded(a, some), encoded(b, some), strict=True)
+                    chunks = list(map(split, some))
+                    ids = zip(*(encode(chunks) for encode in encoders), strict=True)
                     out = [
                         (row[low + i], doc_id[low + i], *piece)
                         for i, (text, both) in enumerate(zip(some, ids, strict=True))
