@@ -11,8 +11,7 @@ is many rows of bounded size. Each piece emits its overlaps and whole groups; wh
 at its sides is stitched together in the order of the pieces.
 
 Overlaps are counted for each pair of ids: sorted runs of bounded size in the tasks, then
-sums. The most frequent pairs, at most 2^20 of them, are given to all tasks as sorted
-arrays; the overlaps of all other pairs are joined with the counts.
+sums. The most frequent pairs, at most 2^20 of them, are given to all tasks; the overlaps of all other pairs are joined with the counts.
 
 Cases: texts that are null or empty, and texts that one of the tokenizers does not
 reproduce, have no tokens: numbers are 0 and the groups empty; rows that repeat an id or a
@@ -33,6 +32,7 @@ from itertools import chain
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,51 +141,60 @@ class Encoder:
     ones are encoded as one text.
     """
 
-    def __init__(self, tokenizer, chunks: int = 1 << 17, longest: int = 48):
-        self.tokenizer, self.chunks, self.longest = tokenizer, chunks, longest
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-        self.lengths = np.array([len(t) for t in tokenizer.table])
-
-    def __call__(self, texts: list[list[str]]) -> list[np.ndarray | None]:
-        """The ids of each text with a space before it, or none for a text of which they
-        are not the bytes."""
-        known = self.known
-        wanted = set(chain.from_iterable(texts)).difference(known)
-        again = {c for c in wanted if c in self.older}
-        known.update((c, self.older[c]) for c in again)
+    def __init__(self, tokenizers: tuple, chunks: int = 1 << 18, longest: int = 48):
+        self.tokenizers, self.chunks, self.longest = tokenizers, chunks, longest
+        self.lengths = [np.array([len(t) for t in v.table]) for v in tokenizers]
+        self.split = _CUT.split if all(v.splits for v in tokenizers) else lambda text: [text]
+        # of each tokenizer; all know the same chunks
+        self.known: list[dict[str, bytes | None]] = [{} for _ in tokenizers]
+        self.older = self.known
+
+    def __call__(self, texts: list[str]) -> Iterator[list[np.ndarray] | None]:
+        """The ids that each tokenizer gives a space and a text, or none for a text of
+        which one of them does not give the bytes."""
+        parts = list(map(self.split, texts))
+        known, older = self.known, self.older
+        wanted = set(chain.from_iterable(parts)).difference(known[0])
+        again = {c for c in wanted if c in older[0]}
         new = wanted.difference(again)
-        ends = {c for chunks in texts for c in (chunks[0], chunks[-1])} & new
-        known.update(self._singly(list(ends)))
-        known.update(self._together(list(new - ends)))
-        lost = {c for c in new if known[c] is None}
+        ends = {c for chunks in parts for c in (chunks[0], chunks[-1])} & new
+        singles, inner = list(ends), list(new - ends)
+        for side, ids in enumerate(known):
+            ids.update((c, older[side][c]) for c in again)
+            ids.update(self._singly(side, singles))
+            ids.update(self._together(side, inner))
+        lost = {c for ids in known for c in new if ids[c] is None}
         out = [
-            np.frombuffer(b"".join(map(known.__getitem__, chunks)), dtype="<u4") if not lost or lost.isdisjoint(chunks) else None
-            for chunks in texts
+            [np.frombuffer(b"".join(map(ids.__getitem__, chunks)), dtype="<u4") for ids in known]
+            if not lost or lost.isdisjoint(chunks)
+            else None
+            for chunks in parts
         ]
         for chunk in [c for c in new if len(c) > self.longest or c in lost]:
-            del known[chunk]
-        if len(known) > self.chunks:
-            self.known, self.older = {}, known
-        return out
-
-    def _checked(self, chunk: str, ids: list[int]) -> bytes | None:
-        same = b"".join(map(self.tokenizer.table.__getitem__, ids)) == f" {chunk}".encode()
+            for ids in known:
+                del ids[chunk]
+        if len(known[0]) > self.chunks:
+            self.known, self.older = [{} for _ in known], known
+        return iter(out)
+
+    def _checked(self, side: int, chunk: str, ids: list[int]) -> bytes | None:
+        same = b"".join(map(self.tokenizers[side].table.__getitem__, ids)) == f" {chunk}".encode()
         return np.array(ids, dtype="<u4").tobytes() if same else None
 
-    def _singly(self, chunks: list[str]) -> dict[str, bytes | None]:
-        return {c: self._checked(c, ids) for c, ids in zip(chunks, self.tokenizer.encode(chunks), strict=True)}
+    def _singly(self, side: int, chunks: list[str]) -> dict[str, bytes | None]:
+        made = self.tokenizers[side].encode(chunks)
+        return {c: self._checked(side, c, ids) for c, ids in zip(chunks, made, strict=True)}
 
-    def _together(self, chunks: list[str]) -> dict[str, bytes | None]:
+    def _together(self, side: int, chunks: list[str]) -> dict[str, bytes | None]:
         """The ids of chunks that stood between two others, encoded as one text."""
         if not chunks:
             return {}
         text = " ".join(chunks)
-        ids = self._checked(text, self.tokenizer.encode([text])[0])
+        ids = self._checked(side, text, self.tokenizers[side].encode([text])[0])
         if ids is None:
-            return self._singly(chunks)
+            return self._singly(side, chunks)
         begins = np.cumsum([len(c.encode()) + 1 for c in chunks])
-        ends = np.cumsum(self.lengths[np.frombuffer(ids, dtype="<u4")])
+        ends = np.cumsum(self.lengths[side][np.frombuffer(ids, dtype="<u4")])
         upto = [0, *(4 * (np.searchsorted(ends, begins) + 1)).tolist()]
         return {c: ids[low:high] for c, low, high in zip(chunks, upto, upto[1:])}
 
@@ -289,11 +298,10 @@ class Aligner:
             a, b = shared.value
             lengths = [np.array([len(t) for t in v.table]) for v in (a, b)]
             codes = [id_code(v) for v in (a, b)]
-            encoders = Encoder(a), Encoder(b)
-            split = _CUT.split if a.splits and b.splits else lambda text: [text]
+            encode = Encoder((a, b))
 
-            def of(text: str, ids: tuple[np.ndarray | None, ...]) -> Iterator[tuple]:
-                if not text or any(i is None for i in ids):
+            def of(text: str, ids: list[np.ndarray] | None) -> Iterator[tuple]:
+                if not text or ids is None:
                     yield 0, 1, 0, 0, 0, 0, b"", b""
                     return
                 ends = [np.cumsum(n[i]) for n, i in zip(lengths, ids, strict=True)]
@@ -310,12 +318,10 @@ class Aligner:
                 row, doc_id, texts = (batch.column(i).to_pylist() for i in range(3))
                 for low, high in text_batches(texts, 1 << 19):
                     some = [t or "" for t in texts[low:high]]
-                    chunks = list(map(split, some))
-                    ids = zip(*(encode(chunks) for encode in encoders), strict=True)
                     out = [
                         (row[low + i], doc_id[low + i], *piece)
-                        for i, (text, both) in enumerate(zip(some, ids, strict=True))
-                        for piece in of(text, both)
+                        for i, (text, ids) in enumerate(zip(some, encode(some), strict=True))
+                        for piece in of(text, ids)
                     ]
                     yield _batch(out, _PIECE)
 
@@ -390,7 +396,7 @@ class Aligner:
         return written(known.select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
 
     def _hot(self, pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The most frequent pairs in order, their counts and whether they are the best."""
+        """The most frequent pairs, their counts and whether they are the best."""
         level = F.floor(F.log2("n") * 8).cast("int")
         sizes = pairs.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()  # 504 at most
         least, taken = None, 0
@@ -400,7 +406,7 @@ class Aligner:
                 break
             least = row["level"]
         hot = pairs.where(level >= least) if least is not None else pairs.limit(0)
-        found = hot.toPandas().sort_values("pair")  # at most `hot_pairs` rows
+        found = hot.toPandas()  # at most `hot_pairs` rows
         return found["pair"].to_numpy(np.int64), found["n"].to_numpy(np.int64), found["best"].to_numpy(bool)
 
     def documents(self, pieces: DataFrame, pairs: DataFrame, digest: bool = False) -> DataFrame:
@@ -456,15 +462,15 @@ def _described(merge, sizes, shared, digest):
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, times, best = shared.value
-        known = len(pair) > 0
+        places = pd.Index(pair)
 
         def counted(held: list[tuple]) -> Iterator[tuple]:
             """Looks the pairs of some pieces up, all at once."""
             keys = np.concatenate([keys for _, keys, _ in held])
-            at = np.minimum(np.searchsorted(pair, keys), max(len(pair) - 1, 0))
-            hot = pair[at] == keys if known else np.zeros(len(keys), dtype=bool)
-            n = np.where(hot, times[at], 0) if known else np.zeros(len(keys), np.int64)
-            top = hot & best[at] if known else hot
+            at = places.get_indexer(keys)
+            hot = at >= 0
+            n, top = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            n[hot], top[hot] = times[at[hot]], best[at[hot]]
             low = 0
             for head, own, tail in held:
                 part = slice(low, low + len(own))
