@@ -13,7 +13,7 @@ from ..presets import LABOUR_SURVEY
 from ..spec import Cascade, require_columns
 from .relational import percent
 
-_FIRST_FAIL = "__first_fail"
+FIRST_FAIL = _FIRST_FAIL = "__first_fail"
 
 
 def missing_summary(
@@ -37,6 +37,11 @@ def missing_summary(
         F.count("*").alias("registros_totales"),
         *[F.sum(f"__m{i}").alias(f"__m{i}") for i in range(len(names))],
     )
+    return missing_rows(sums, names, by)
+
+
+def missing_rows(sums: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Summary rows from ``registros_totales`` and the sums ``__m0``, ``__m1``, ... of each group."""
     rows = [
         F.struct(
             F.lit(name).alias("variable"),
@@ -96,6 +101,11 @@ def audit_failures(flagged: DataFrame, cascade: Cascade, by: Sequence[str] = ())
             for s in cascade.steps
         ],
     )
+    return audit_rows(counts, cascade, by)
+
+
+def audit_rows(counts: DataFrame, cascade: Cascade, by: Sequence[str] = ()) -> DataFrame:
+    """Audit rows from ``__total`` and the exclusions ``__s1``, ``__s2``, ... of each group."""
     start, zero = F.col("__total"), F.lit(0).cast("long")
     labels = [(0, cascade.start, zero)]
     labels += [(s.step, s.label, F.col(f"__s{s.step}")) for s in cascade.steps]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.derive import label_of, with_residual
+from ..operators.audited import ELIGIBLE, write_audited
 from ..operators.evaluate import (
     METRICS,
     banded_error_metrics,
@@ -35,13 +36,7 @@ from ..operators.profile import (
     period_series,
     sparse_distributions,
 )
-from ..operators.quality import (
-    apply_filters_with_audit,
-    duplicate_summary,
-    missing_summary,
-    period_counts,
-    require_rows,
-)
+from ..operators.quality import duplicate_summary, require_rows
 from ..operators.quantiles import quantile_cuts
 from ..operators.relate import correlation_matrix
 from ..operators.relational import kept, settle
@@ -55,7 +50,7 @@ from ..operators.segment import (
 )
 from ..presets import EXPECTED_PERIODS, LABOUR_SURVEY
 from ..sources.extracts import load_study
-from ..sources.sinks import save_model, write_prepared, write_small_table
+from ..sources.sinks import save_model, write_small_table
 
 # Tags and names of the published tables.
 LABEL = "categoria_ocupacional_etiqueta"
@@ -72,23 +67,19 @@ def load_and_audit(
     raw = load_study(spark, roots, periods)
     tag = F.when(F.col(SPEC.period) == periods[-1], F.lit(HOLDOUT)).otherwise(F.lit(TRAINING))
     raw = raw.withColumn("conjunto", tag)
-    rows, audit = apply_filters_with_audit(raw, by=["conjunto"])
-    audit = settle(audit)
-    after = audit.groupBy("conjunto").agg(F.min("registros_despues").alias("n"))
-    prepared = write_prepared(
-        rows, f"{work}/prepared", expected_rows=after.agg(F.sum("n")).first()[0]
-    )
+    # the one pass over the extracts: writes all rows, counts what the tables need
+    done = write_audited(raw, f"{work}/prepared", by="conjunto", tags=(TRAINING, HOLDOUT), periods=periods)
     label = label_of(F.col("categoria_ocupacional"), SPEC.labels["categoria_ocupacional"])
-    prepared = prepared.withColumn(LABEL, label)
+    prepared = done.prepared.withColumn(LABEL, label)
     require_rows(
         training=prepared.where(F.col("conjunto") == TRAINING),
         holdout=prepared.where(F.col("conjunto") == HOLDOUT),
     )
     return prepared, {
-        "missing_summary": missing_summary(raw, by=["conjunto"]),
-        "filter_audit": audit.orderBy("conjunto", "paso"),
-        "prepared_counts_by_period": period_counts(prepared),
-        "duplicate_key_audit": duplicate_summary(raw, by=["conjunto"]),
+        "missing_summary": done.missing,
+        "filter_audit": done.audit,
+        "prepared_counts_by_period": done.eligible_by_period,
+        "duplicate_key_audit": duplicate_summary(done.rows.drop(ELIGIBLE), by=["conjunto"]),
     }
 
 

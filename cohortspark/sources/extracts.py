@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,7 @@ from ..functions.text import (
 from ..operators.relational import settle
 from ..presets import EXPECTED_PERIODS, LABOUR_SURVEY
 from ..spec import DatasetSpec, FieldSpec, PeriodNaming, RequiredColumnsError
+from .layouts import BAD, FILE, Layout, clean_header, find_layouts, raw_header, scan_layout
 
 #: Extract formats the loader reads, by file suffix.
 SUFFIXES = (".csv", ".parquet")
@@ -32,7 +34,7 @@ SUFFIXES = (".csv", ".parquet")
 #: Fixed value: how many available columns an error message shows.
 PREVIEW = 40
 
-_LISTING = "path string, length long"
+_LISTING = "path string, length long, partes long, modificado timestamp, huella long"
 PROVENANCE = ("archivo_origen", "periodo_archivo", "anio_archivo", "trimestre_calendario")
 
 
@@ -42,9 +44,10 @@ PROVENANCE = ("archivo_origen", "periodo_archivo", "anio_archivo", "trimestre_ca
 def list_files(
     spark: SparkSession, roots: str | Sequence[str], recursive: bool = True
 ) -> DataFrame:
-    """Paths and lengths of all extracts below the roots; a missing root is empty.
+    """All extracts below the roots; a missing root is empty.
 
-    An extract is a file, or a folder of part files whose name ends like one; the parts
+    Each has its path, length, number of parts, time of the last change and a digest of
+    the names, lengths and times of its parts, which tells whether any part changed. An extract is a file, or a folder of part files whose name ends like one; the parts
     count as one extract, and files that start with ``_`` or ``.`` as none. The listing
     source prunes file contents, so nothing is read.
     """
@@ -52,16 +55,22 @@ def list_files(
     for root in [roots] if isinstance(roots, str) else list(roots):
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
         try:
-            listings.append(reader.load(str(root)).select("path", "length"))
+            listings.append(reader.load(str(root)).select("path", "length", "modificationTime"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    empty = spark.createDataFrame([], _LISTING)
-    files = reduce(DataFrame.unionByName, listings, empty)
+    if not listings:
+        return spark.createDataFrame([], _LISTING)
+    files = reduce(DataFrame.unionByName, listings)
     folder = F.regexp_extract("path", r"(?i)^(.*?\.(?:csv|parquet))/", 1)
     extract = F.when(folder != "", folder).otherwise(F.col("path"))
     real = files.where(~file_name(F.col("path")).rlike("^[_.]"))
-    return real.groupBy(extract.alias("path")).agg(F.sum("length").alias("length"))
+    return real.groupBy(extract.alias("path")).agg(
+        F.sum("length").alias("length"),
+        F.count("*").alias("partes"),
+        F.max("modificationTime").alias("modificado"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("huella"),
+    )
 
 
 def select_extracts(
@@ -201,22 +210,6 @@ def header_audit(headers: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-#: How CSV extracts are read: quotes are doubled inside quoted cells, and rows with too
-#: few or too many cells are an error.
-CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
-
-
-def raw_header(
-    spark: SparkSession, path: str, separator: str = ",", multi_line: bool = False
-) -> list[str]:
-    """Column names of one extract as they are written: a header row or a footer."""
-    if str(path).lower().rstrip("/").endswith(".parquet"):
-        return spark.read.parquet(path).columns
-    row = spark.read.options(sep=separator, multiLine=multi_line, **CSV).csv(path).first()
-    names = ["" if cell is None else cell for cell in row or ()]
-    return [name.removeprefix("\ufeff") for name in names]
-
-
 def read_header(
     spark: SparkSession, path: str, separator: str = ",", multi_line: bool = False
 ) -> list[str]:
@@ -224,14 +217,6 @@ def read_header(
     return clean_header(path, raw_header(spark, path, separator, multi_line))
 
 
-def clean_header(path: str, raw: Sequence[str]) -> list[str]:
-    names = [" ".join(name.split()) for name in raw]
-    repeated = sorted({n for n in names if names.count(n) > 1})
-    if repeated:
-        raise ValueError(f"{path}: repeated headers {', '.join(repeated)}")
-    return names
-
-
 def require_header(path: str, header: Sequence[str], required: Sequence[str]) -> None:
     """Fail when a header lacks required columns, naming related ones it has."""
     absent = [c for c in required if c not in header]
@@ -272,38 +257,17 @@ def standardise(
     )
 
 
-def _staged_scan(
-    spark: SparkSession,
-    path: str,
-    raw_names: Sequence[str],
-    sources: Sequence[str],
-    separator: str,
-    multi_line: bool,
-) -> DataFrame:
-    """Text of the wanted columns of one extract; absent ones are null.
+@dataclass(frozen=True)
+class LoadedExtracts:
+    """The standard table of extracts and what was found on the way."""
 
-    Every part file of a CSV extract has to have the same header, in the same order;
-    the reader compares them and fails otherwise.
-    """
-    if path.lower().rstrip("/").endswith(".parquet"):
-        raw = spark.read.parquet(path)
-    else:
-        text = T.StructType([T.StructField(c, T.StringType()) for c in raw_names])
-        options = {"header": True, "sep": separator, "enforceSchema": False, "multiLine": multi_line}
-        raw = spark.read.schema(text).options(**options, **CSV).csv(path)
-    header = clean_header(path, raw_names)
-    found = dict(zip(header, raw.schema.fields))
-    absent = F.lit(None).cast("string")
-    return raw.select(
-        *[
-            (staged_text(F.col(f"`{found[c].name}`"), found[c].dataType) if c in found else absent)
-            .alias(c)
-            for c in sources
-        ]
-    )
+    table: DataFrame
+    #: (provenance, registro, celdas): rows of another width, as written and as parsed.
+    bad_rows: DataFrame
+    layouts: tuple[Layout, ...]
 
 
-def load_extracts(
+def scan_extracts(
     spark: SparkSession,
     paths: Sequence[str],
     *,
@@ -313,15 +277,18 @@ def load_extracts(
     metadata: Mapping[str, object] | None = None,
     separator: str = ",",
     multi_line: bool = False,
-) -> DataFrame:
+    keep_bad_rows: bool = True,
+) -> LoadedExtracts:
     """Standard table of several extracts, tagged with the period of each.
 
     An extract is the file of one period, or a folder of part files with one
     layout whose name carries the period. All headers and periods are checked
-    before anything is planned. Each extract is then one scan of the selected
-    columns with its provenance as literals, so no join and no shuffle is needed.
-    ``metadata`` may supply the period of an extract whose name lacks one. With
-    ``multi_line``, quoted CSV cells may hold line breaks; such a file is not split.
+    before anything is planned. Extracts with the same columns in the same order
+    share one scan, whatever their number; the provenance of a row is that of its
+    file, looked up in a table of file names. ``metadata`` may supply the period of
+    an extract whose name lacks one. With ``multi_line``, quoted CSV cells may hold
+    line breaks; such a file is not split. Rows of another width than the header
+    are kept apart, or fail the job without ``keep_bad_rows``.
     """
     if not paths:
         raise ValueError("no extracts to load")
@@ -333,15 +300,61 @@ def load_extracts(
         raise ValueError(f"required columns are not selected: {', '.join(outside)}")
 
     periods = extract_periods(spark, paths, spec.naming, metadata)
-    tables = []
-    for path in map(str, paths):
-        raw_names = raw_header(spark, path, separator, multi_line)
-        require_header(path, clean_header(path, raw_names), needed)
-        staged = _staged_scan(spark, path, raw_names, sources, separator, multi_line)
-        known = periods[path]
-        provenance = {name: F.lit(known[name]) for name in PROVENANCE}
+    layouts = find_layouts(spark, list(map(str, paths)), separator, multi_line)
+    tables, rest = [], []
+    for layout in layouts:
+        header = clean_header(layout.extracts[0], layout.header)
+        require_header(layout.extracts[0], header, needed)
+        rows = scan_layout(spark, layout, separator, multi_line, keep_bad_rows)
+        files = [(p.file, *[periods[p.extract][name] for name in PROVENANCE]) for p in layout.parts]
+        known = spark.createDataFrame(files, _FILES)
+        rows = rows.join(known, F.col(FILE) == F.col("__name"))
+        provenance = {name: F.col(f"__{name}") for name in PROVENANCE}
+        good = rows.where(F.col(BAD).isNull()) if keep_bad_rows and layout.types is None else rows
+        staged = good.select(*_staged(layout, header, sources), *provenance.values())
         tables.append(standardise(staged, provenance, spec, fields))
-    return harmonised_union(tables)
+        cells = F.array(*[F.col(f"`{f}`").cast("string") for f in layout.header])
+        tags = [column.alias(name) for name, column in provenance.items()]
+        rest.append(rows.where(F.col(BAD).isNotNull()).select(*tags, F.col(BAD).alias("registro"), cells.alias("celdas")))
+    return LoadedExtracts(harmonised_union(tables), harmonised_union(rest), tuple(layouts))
+
+
+_FILES = (
+    "__name string, __archivo_origen string, __periodo_archivo string, "
+    "__anio_archivo int, __trimestre_calendario int"
+)
+
+
+def _staged(layout: Layout, header: Sequence[str], sources: Sequence[str]) -> list[Column]:
+    """Text of the wanted columns of a layout; absent ones are null."""
+    written = dict(zip(header, layout.header))
+    absent = F.lit(None).cast("string")
+
+    def text(source: str) -> Column:
+        if source not in written:
+            return absent
+        kind = T.StringType() if layout.types is None else layout.types[written[source]].dataType
+        return staged_text(F.col(f"`{written[source]}`"), kind)
+
+    return [text(c).alias(c) for c in sources]
+
+
+def load_extracts(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    """The table of :func:`scan_extracts`; a row of another width fails the job."""
+    return scan_extracts(spark, paths, keep_bad_rows=False, **options).table
+
+
+def header_rows(spark: SparkSession, loaded: LoadedExtracts) -> DataFrame:
+    """``(periodo, archivo, columna)`` of every extract, for :func:`header_audit`."""
+    extracts = [e for layout in loaded.layouts for e in layout.extracts]
+    periods = extract_periods(spark, extracts)
+    names = [
+        (periods[e]["periodo_archivo"], periods[e]["archivo_origen"], column)
+        for layout in loaded.layouts
+        for e in layout.extracts
+        for column in layout.header
+    ]
+    return spark.createDataFrame(names, "periodo string, archivo string, columna string")
 
 
 def extract_periods(
