@@ -99,6 +99,80 @@ def grouped_error_metrics(
     return table.orderBy(*by, F.col("n").desc(), group_col)
 
 
+def error_cube(
+    predictions: DataFrame,
+    dimensions: Mapping[str, str | Column],
+    *,
+    label_col: str = _TARGET,
+    prediction_col: str = "prediction",
+    by: Sequence[str] = ("modelo",),
+    unknown: str = UNKNOWN,
+) -> DataFrame:
+    """Errors of all rows and of every category of each dimension, in one aggregate.
+
+    Rows ``(*by, dimension, grupo)``; the rows without dimension are those over all
+    categories. A null category is the unknown group.
+    """
+    require_columns(predictions, [*by, label_col, prediction_col], "error_cube")
+    real, error = _error(predictions, label_col, prediction_col)
+    names = list(dimensions)
+    categories = [
+        F.coalesce(F.trim((F.col(c) if isinstance(c, str) else c).cast("string")), F.lit(unknown)).alias(f"__d{i}")
+        for i, c in enumerate(dimensions.values())
+    ]
+    rows = predictions.select(
+        *by, *categories, real.alias("__y"), number_of(predictions, prediction_col).alias("__p"), error.alias("__e")
+    )
+    slots = [f"__d{i}" for i in range(len(names))]
+    sets = [list(by), *[[*by, slot] for slot in slots]]
+    marks = [F.grouping(slot).alias(f"__g{i}") for i, slot in enumerate(slots)]
+    measures = [
+        F.count("*").alias("n"),
+        F.avg("__y").alias("real_medio"),
+        F.avg("__p").alias("prediccion_media"),
+        F.avg(F.abs("__e")).alias("MAE"),
+        F.sqrt(F.avg(F.col("__e") * F.col("__e"))).alias("RMSE"),
+        F.avg("__e").alias("error_medio"),
+    ]
+    table = rows.groupingSets([[F.col(c) for c in s] for s in sets], *by, *slots).agg(*measures, *marks)
+    dimension = group = F.lit(None).cast("string")
+    for i, name in enumerate(names):
+        here = F.col(f"__g{i}") == 0
+        dimension = F.when(here, F.lit(name)).otherwise(dimension)
+        group = F.when(here, F.col(f"__d{i}")).otherwise(group)
+    return table.select(
+        *by, dimension.alias("dimension"), group.alias("grupo"),
+        "n", "real_medio", "prediccion_media", "MAE", "RMSE", "error_medio",
+    )
+
+
+def cube_laws(cube: DataFrame, by: Sequence[str] = ("modelo",)) -> DataFrame:
+    """``(*by, dimension, n, cumple)``: whether the categories of a dimension, weighted by
+    their rows, have the errors of all rows, and errors are differences of means."""
+    total = cube.where("dimension IS NULL").select(*by, *[F.col(c).alias(f"__{c}") for c in ("n", "MAE", "RMSE", "error_medio")])
+
+    def weighted(column: Column) -> Column:
+        return F.sum(F.col("n") * column) / F.sum("n")
+
+    def near(a: Column, b: Column, scale: Column) -> Column:
+        return F.abs(a - b) <= 1e-9 * (1.0 + scale)
+
+    gap = F.abs(F.col("error_medio") - (F.col("real_medio") - F.col("prediccion_media")))
+    parts = cube.where("dimension IS NOT NULL").groupBy(*by, "dimension").agg(
+        F.sum("n").alias("n"),
+        weighted(F.col("MAE")).alias("a"),
+        weighted(F.col("RMSE") * F.col("RMSE")).alias("s"),
+        weighted(F.col("error_medio")).alias("m"),
+        F.max(gap / (1.0 + F.abs("real_medio"))).alias("g"),
+    )
+    rmse = F.col("__RMSE")
+    good = (
+        (F.col("n") == F.col("__n")) & near(F.col("a"), F.col("__MAE"), F.col("__MAE"))
+        & near(F.sqrt("s"), rmse, rmse) & near(F.col("m"), F.col("__error_medio"), rmse) & (F.col("g") <= 1e-9)
+    )
+    return null_safe_join(parts, total, by).select(*by, "dimension", "n", good.alias("cumple"))
+
+
 def banded_error_metrics(
     predictions: DataFrame,
     cuts: Sequence[float],

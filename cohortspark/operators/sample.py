@@ -84,3 +84,17 @@ def random_sample(df: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
         raise ValueError("max_rows must be positive")
     drawn = df.withColumn("__u", F.rand(seed))
     return _first_by(drawn, [F.col("__u")], max_rows).drop("__u")
+
+
+def random_rows_of_files(reader: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
+    """Random rows of a table of Parquet files, the same for any partitioning.
+
+    The number of a row comes from the seed, the name of its file and its place in it, so
+    that rows need no key and repeated rows are drawn one by one. ``reader`` has to be the
+    files' own scan.
+    """
+    if max_rows <= 0:
+        raise ValueError("max_rows must be positive")
+    place = reader.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    drawn = place.withColumn("__u", _identity(["__file", "__row"], seed))
+    return _first_by(drawn, [F.col("__u"), F.col("__file"), F.col("__row")], max_rows).drop("__u", "__file", "__row")
