@@ -1,6 +1,6 @@
-"""Registered queries against their SQL at the smallest scale.
+"""Every registered query of the library against its SQL, at the smallest scale.
 
-By default one query per group of operators; ALL_QUERIES=1 runs every one.
+ALL_QUERIES=1 adds those of the training-data operators, which have tests of their own.
 """
 
 import os
@@ -8,26 +8,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from cohortspark.plans.laws import law_queries
+from cohortspark.plans.loading import loading_queries
+from cohortspark.plans.queries import all_queries
 from oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUICK = (
-    "band_errors",
-    "categorical_distributions_sparse",
-    "code_normalize",
-    "descriptive_stats",
-    "duplicate_key_audit",
-    "extract_selection",
-    "filter_audit",
-    "missing_staged",
-    "model_comparison",
-    "sample_by_hash",
-    "schema_audit",
-    "segment_compositions",
-    "value_histogram_by_group",
-)
-
-
 @pytest.fixture(scope="module")
 def con():
     return connect(FOLDER)
@@ -39,7 +25,8 @@ def test_contract(spark):
     assert df.columns[:3] == ["conjunto", "paso", "descripcion"] and df.count() == 26
 
 
-NAMES = sorted(entry.queries() if os.environ.get("ALL_QUERIES") else QUICK)
+OTHERS = all_queries() | loading_queries() | law_queries()
+NAMES = sorted(entry.queries() if os.environ.get("ALL_QUERIES") else OTHERS)
 
 
 @pytest.mark.parametrize("name", NAMES)
