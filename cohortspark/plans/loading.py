@@ -5,6 +5,7 @@ Line items are written as extracts by quarter below the shared folder and loaded
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import is_finite
+from ..operators.key_index import KeyIndex
 from ..operators.quality import period_counts
 from ..operators.relational import settle
 from ..presets import LABOUR_SURVEY
@@ -20,7 +22,7 @@ from ..sources.incremental import update_table
 from ..sources.sinks import write_periods
 from .oracles import _KEPT, _PERSON, _filter_audit, _missing_typed, _sql, _standard_columns
 from .study import HOLDOUT, TRAINING, load_and_audit
-from .views import FILE_TEXT, PERIOD_TEXT, PERSON_TEXT, QUARTER, YEAR, spark_sql, survey_prepared, table, work_folder
+from .views import FILE_TEXT, PERIOD_TEXT, PERSON_TEXT, QUARTER, YEAR, spark_sql, survey_prepared, survey_raw, table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,9 +164,22 @@ _TABLES = {
 }
 
 
+def duplicate_across_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of the last year that earlier years have too, found in a bucketed index."""
+    raw = survey_raw(spark, sf)
+    name = f"claves_{uuid.uuid4().hex}"
+    index = KeyIndex(spark, name, f"{work_folder(spark)}/{name}", compared=_COMPARED, buckets=16)
+    index.add(raw.where("conjunto = 'entrenamiento'"))
+    return index.duplicates(raw.where("conjunto = 'holdout'"))
+
+
+_COMPARED = ("edad", "categoria_ocupacional", "dominio")
+
+
 def loading_queries() -> dict[str, Query]:
     found = (
         load_csv_extracts, load_parquet_extracts, extract_headers, extract_bad_rows, extract_updates, replaced_period, study_quality,
+        duplicate_across_periods,
     )
     return {f.__name__: f for f in found}
 
@@ -224,4 +239,10 @@ def loading_oracles() -> dict[str, str]:
             SELECT p AS periodo_archivo, count(*) AS n, round(sum(s), 2) AS salarios, p = '{_REPLACED}' AS escrito
             FROM k WHERE p <> '{_REPLACED}' OR edad < 40 GROUP BY p""",
         "study_quality": _study_quality(),
+        "duplicate_across_periods": f"""WITH {_PERSON}, v AS (SELECT *, CAST(row(edad, categoria_ocupacional, dominio) AS VARCHAR) AS x FROM survey),
+            k AS (SELECT "NUM_HOGAR", "NUM_PERSONA", count(*) FILTER (conjunto = 'holdout') AS n_nuevos,
+              count(*) FILTER (conjunto <> 'holdout') AS n_anteriores,
+              min(periodo_archivo) FILTER (conjunto <> 'holdout') AS primer_periodo,
+              CASE WHEN count(DISTINCT x) = 1 THEN 'exacto' ELSE 'conflictivo' END AS tipo FROM v GROUP BY 1, 2)
+            SELECT * FROM k WHERE n_nuevos > 0 AND n_anteriores > 0""",
     }
