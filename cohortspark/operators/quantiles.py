@@ -12,6 +12,9 @@ from .relational import null_safe_join, settle
 #: Fixed value: sketch accuracy of the published tables.
 ACCURACY = 10_000
 
+#: The cuts of value bands.
+BAND_CUTS = (0.25, 0.50, 0.75, 0.95)
+
 _SMALLEST = 5e-324  # smallest positive double
 _EXPONENT_SHIFT = 1100  # makes its exponent positive
 
@@ -104,7 +107,7 @@ def sketch_quantiles(value: Column, probabilities: Sequence[float], accuracy: in
 def quantile_cuts(
     df: DataFrame,
     value: str,
-    probabilities: Sequence[float] = (0.25, 0.50, 0.75, 0.95),
+    probabilities: Sequence[float] = BAND_CUTS,
     relative_error: float = 0.001,
     exact: bool = False,
 ) -> list[float]:

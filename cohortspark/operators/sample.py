@@ -11,6 +11,8 @@ from ..presets import LABOUR_SURVEY
 from ..spec import require_columns
 from .segment import SEED
 
+#: Fixed value: size of the published samples.
+SAMPLE_ROWS = 5_000
 _GROUPS = 256  # of tasks, in the first step of a sample
 
 
@@ -62,7 +64,7 @@ def _first_by(df: DataFrame, order: Sequence[Column], max_rows: int) -> DataFram
 def deterministic_sample(
     df: DataFrame,
     *,
-    max_rows: int = 5_000,
+    max_rows: int = SAMPLE_ROWS,
     seed: int = SEED,
     key_columns: Sequence[str] = LABOUR_SURVEY.keys,
 ) -> DataFrame:

@@ -5,6 +5,8 @@ Line items are written as extracts by quarter below the shared folder and loaded
 
 from __future__ import annotations
 
+import csv
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,12 +16,12 @@ from pyspark.sql import types as T
 
 from ..functions.coerce import is_finite
 from ..operators.key_index import KeyIndex
-from ..operators.quality import period_counts
+from ..operators.quality import apply_filters_with_audit, period_counts
 from ..operators.relational import settle
 from ..presets import LABOUR_SURVEY
 from ..sources.extracts import find_person_files, header_audit, header_rows, scan_extracts
 from ..sources.incremental import update_table
-from ..sources.sinks import write_periods
+from ..sources.sinks import bounded, table_from_rows, write_periods, write_small_table
 from .oracles import _KEPT, _PERSON, _filter_audit, _missing_typed, _sql, _standard_columns
 from .study import HOLDOUT, TRAINING, load_and_audit
 from .views import FILE_TEXT, PERIOD_TEXT, PERSON_TEXT, QUARTER, YEAR, spark_sql, survey_prepared, survey_raw, table, work_folder
@@ -173,13 +175,44 @@ def duplicate_across_periods(spark: SparkSession, sf: str) -> DataFrame:
     return index.duplicates(raw.where("conjunto = 'holdout'"))
 
 
+def selected_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Four fields under names of the caller's own, from CSV extracts with sixteen."""
+    root = _extracts(spark, sf, ".csv")
+    wanted = {"P05D01": "pago", "  NUM_HOGAR ": "hogar", "NUM_PERSONA": "persona", "L_EXTRA_1": "descuento"}
+    rows = scan_extracts(spark, _paths(spark, root), selected=wanted, required=["P05D01", "L_EXTRA_1"]).table
+    return _finite(rows.select("pago", "hogar", "persona", "descuento", "periodo_archivo"))
+
+
+def renamed_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The population filter over a table whose columns have other names."""
+    names = {"edad": "anos", "salario_mensual": "pago", "ocupado": "trabaja"}
+    raw = survey_raw(spark, sf).withColumnsRenamed(names)
+    return apply_filters_with_audit(raw, names, by=["conjunto"])[1]
+
+
+def report_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A report file of the counts by period, read again; a larger table is refused."""
+    counts = period_counts(survey_prepared(spark, sf))
+    with tempfile.TemporaryDirectory() as folder:  # reports are files of the driver
+        target = write_small_table(counts, f"{folder}/counts.csv", max_rows=len(PERIODS))
+        with open(target, encoding="utf-8-sig", newline="") as report:
+            rows = [(r["periodo_archivo"], int(r["filas_elegibles"])) for r in csv.DictReader(report)]
+    try:
+        bounded(counts, max_rows=len(rows) - 1)
+        refused = False
+    except ValueError:
+        refused = True
+    table = table_from_rows(spark, rows, "periodo_archivo string, filas_elegibles long")
+    return table.withColumn("mayor_rechazada", F.lit(refused))
+
+
 _COMPARED = ("edad", "categoria_ocupacional", "dominio")
 
 
 def loading_queries() -> dict[str, Query]:
     found = (
         load_csv_extracts, load_parquet_extracts, extract_headers, extract_bad_rows, extract_updates, replaced_period, study_quality,
-        duplicate_across_periods,
+        duplicate_across_periods, selected_columns, renamed_audit, report_round_trip,
     )
     return {f.__name__: f for f in found}
 
@@ -239,6 +272,13 @@ def loading_oracles() -> dict[str, str]:
             SELECT p AS periodo_archivo, count(*) AS n, round(sum(s), 2) AS salarios, p = '{_REPLACED}' AS escrito
             FROM k WHERE p <> '{_REPLACED}' OR edad < 40 GROUP BY p""",
         "study_quality": _study_quality(),
+        "selected_columns": f"""WITH {_PERSON}, l AS (SELECT *, row_number() OVER () AS r FROM survey),
+            d AS (SELECT CAST(l_discount AS VARCHAR) AS descuento, row_number() OVER () AS r FROM lineitem)
+            SELECT CASE WHEN isfinite(salario_mensual) THEN salario_mensual END AS pago, "NUM_HOGAR" AS hogar,
+              "NUM_PERSONA" AS persona, descuento, periodo_archivo FROM l JOIN d USING (r)""",
+        "renamed_audit": _filter_audit(),
+        "report_round_trip": f"""WITH {_KEPT} SELECT periodo_archivo, count(*) AS filas_elegibles,
+            true AS mayor_rechazada FROM kept GROUP BY periodo_archivo""",
         "duplicate_across_periods": f"""WITH {_PERSON}, v AS (SELECT *, CAST(row(edad, categoria_ocupacional, dominio) AS VARCHAR) AS x FROM survey),
             k AS (SELECT "NUM_HOGAR", "NUM_PERSONA", count(*) FILTER (conjunto = 'holdout') AS n_nuevos,
               count(*) FILTER (conjunto <> 'holdout') AS n_anteriores,

@@ -72,7 +72,7 @@ from .. import (
 )
 from ..functions.derive import join_labels
 from ..operators.predict import LR_CONFIGS, RF_CONFIGS, best_config, pipeline_for
-from ..operators.quantiles import quantile_cuts
+from ..operators.quantiles import BAND_CUTS, select_ranks
 from ..operators.relational import kept, settle
 from ..operators.sample import hash_unit
 from ..operators.segment import best_k
@@ -629,13 +629,16 @@ def _predictions(
     sf: str,
     keep: list[str],
     enrich: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    median: float | None = None,
 ) -> DataFrame:
     """Baseline and two closed-form models scored on validation and test rows.
 
-    ``enrich`` may join columns to the rows before every model scores them.
+    ``enrich`` may join columns to the rows before every model scores them; ``median``
+    is that of the training rows where it is known already.
     """
     rows = _parts(charges(spark, sf))
-    median = target_median(rows.where("dataset = 'train'"), "charge", exact=True)
+    if median is None:
+        median = target_median(rows.where("dataset = 'train'"), "charge", exact=True)
     scored = enrich(rows.where("dataset <> 'train'"))
     return stack_predictions(scored, _models(median), ["dataset", *keep, "charge"])
 
@@ -692,8 +695,12 @@ def worst_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bands(spark: SparkSession, sf: str) -> DataFrame:
-    cuts = quantile_cuts(charges(spark, sf).where("era = 'test'"), "charge", exact=True)
-    long = _predictions(spark, sf, []).where("dataset = 'test'")
+    # the cuts of the test rows and the median of the training rows in one selection
+    rows = _parts(charges(spark, sf)).where("dataset <> 'validation'").select("dataset", "charge")
+    ranks = select_ranks(rows, "charge", BAND_CUTS, ["dataset"]).collect()  # one for each cut
+    found = {(r["dataset"], r["probability"]): r["value"] for r in ranks}
+    cuts = [found["test", p] for p in BAND_CUTS]
+    long = _predictions(spark, sf, [], median=found["train", 0.5]).where("dataset = 'test'")
     return banded_error_metrics(long, cuts, label_col="charge", exact=True)
 
 

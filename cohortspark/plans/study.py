@@ -40,7 +40,7 @@ from ..operators.quality import duplicate_summary, require_rows
 from ..operators.quantiles import quantile_cuts
 from ..operators.relate import correlation_matrix
 from ..operators.relational import kept, settle
-from ..operators.sample import deterministic_sample, hash_split
+from ..operators.sample import SAMPLE_ROWS, deterministic_sample, hash_split
 from ..operators.segment import (
     best_k,
     kmeans_sweep,
@@ -50,7 +50,7 @@ from ..operators.segment import (
 )
 from ..presets import EXPECTED_PERIODS, LABOUR_SURVEY
 from ..sources.extracts import load_study
-from ..sources.sinks import save_model, write_small_table
+from ..sources.sinks import MAX_ROWS, save_model, write_small_table
 
 # Tags and names of the published tables.
 LABEL = "categoria_ocupacional_etiqueta"
@@ -208,4 +208,8 @@ def run_study(
     holdout = prepared.where(F.col("conjunto") == HOLDOUT)
     results |= describe(training) | segment(training)
     results |= model(training, holdout, f"{work}/models")
-    return [write_small_table(df, Path(tables) / f"{name}.csv") for name, df in results.items()]
+    # the points are bounded by the sample and the number of models, other tables by default
+    bounds = {"prediction_points": SAMPLE_ROWS * len(MODELS)}
+    return [
+        write_small_table(df, Path(tables) / f"{name}.csv", max_rows=bounds.get(name, MAX_ROWS)) for name, df in results.items()
+    ]
