@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,12 +35,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """The rows as a Parquet table in the shared folder: later stages start from there,
-    also after executors are lost, and every reader sees the same rows."""
+    also after executors are lost, and every reader sees the same rows.
+
+    With `drop_shuffles` the shuffle files of the job go when it ends, as nothing reads
+    them after the table is there; `df` itself should not be run again.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, str(drop_shuffles or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

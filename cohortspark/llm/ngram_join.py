@@ -25,21 +25,26 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import components, free_shuffles, ship, thinned, written
+from cohortspark.llm import common
+from cohortspark.llm.common import components, ship, thinned
 from cohortspark.llm.shingles import batches, shingle_sets, signature
 
+#: Written tables whose shuffles are not read again.
+written = partial(common.written, drop_shuffles=True)
+
 _TABLE_BITS, _CHUNK = 20, 4096
 _MARKS = tuple(f"m{i}" for i in range(8))
 _MARKED = 1000  # larger sets fill 512 bits, so that these bound nothing
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
-_TURNS, _DRAWN = 1, 4  # contractions, and rows that stand for a column in them
+_TURNS, _DRAWN = 2, 4  # contractions, and rows that stand for a column in them
 _GROUP = 1000  # comparisons with one row that a task takes at once
 
 
@@ -223,6 +228,23 @@ def shared_prefixes(docs: DataFrame, classes: np.ndarray, total: int) -> DataFra
     return written(shared, "shared")
 
 
+def merged_columns(entries: DataFrame) -> DataFrame:
+    """(g, row, n, pos, last, w): columns that the same rows have become one of weight w.
+
+    Passages that documents share are runs of such columns, so that a pair meets once for
+    a passage and not once for each of its shingles. `pos` and `last` are the first and the
+    last place of the merged columns in the row's prefix; as all rows have one order, these
+    are the same two columns in every row.
+    """
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "row")).alias(f"s{seed}") for seed in (1, 2)]
+    alike = entries.groupBy("g").agg(F.count("*").alias("k"), *marks)
+    same = entries.join(alike, "g").groupBy(F.xxhash64("k", "s1", "s2").alias("g"), "row")
+    merged = same.agg(
+        F.first("n").alias("n"), F.min("pos").alias("pos"), F.max("pos").alias("last"), F.count("*").cast("int").alias("w")
+    )
+    return written(merged, "columns")
+
+
 # --- candidates ---------------------------------------------------------------------
 
 
@@ -255,7 +277,7 @@ def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
         first = rows.groupBy("g").agg(F.min(F.struct(*whole)).alias("z"))
     near = rows.join(first, "g").where(F.col("comp") != F.col("z.comp"))
     near = near.withColumns({"a": F.col("z.row"), "na": F.col("z.n")}).where(_sizes_fit("n", "na"))
-    met = near.groupBy("row", "n", "comp", "a").agg(F.count("*").alias("met"))
+    met = near.groupBy("row", "n", "comp", "a").agg(F.sum("w").alias("met"))
     met = met.where(F.col("met") * 12 >= F.col("n"))
     best = met.groupBy("comp").agg(F.max(F.struct("met", "a", "row")).alias("best"))
     return written(best.select(F.col("best.a").alias("a"), F.col("best.row").alias("b")), "stars")
@@ -264,29 +286,37 @@ def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
 def product_pairs(rows: DataFrame) -> DataFrame:
     """(a, b): all pairs of rows in different components that may reach the threshold.
 
-    The common columns of a pair's prefixes are counted; what follows the last of them
-    is bounded by what is left of either set. 7 * overlap >= 3 * (sizes) is Jaccard 3/4.
+    The common columns of a pair's prefixes are counted; what follows a common column is
+    bounded by what is left of either set. 7 * overlap >= 3 * (sizes) is Jaccard 3/4.
     """
     def side(x: str) -> DataFrame:
-        named = {"row": x, "n": f"n{x}", "pos": f"p{x}", "comp": f"c{x}"}
+        named = {"row": x, "n": f"n{x}", "pos": f"p{x}", "last": f"l{x}", "comp": f"c{x}"}
         marks = [F.when(F.col("n") <= _MARKED, F.col(m)).otherwise(0).alias(f"{m}{x}") for m in _MARKS]
-        return rows.select("g", *[F.col(old).alias(new) for old, new in named.items()], *marks)
+        weight = [F.col("w")] if x == "a" else []
+        return rows.select("g", *[F.col(old).alias(new) for old, new in named.items()], *weight, *marks)
 
     left, right = side("a"), side("b")
     need = (F.col("na") + F.col("nb")) * 3
-    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+
+    def rest(at: str) -> Column:
+        return F.least(F.col("na") - F.col(f"{at}a"), F.col("nb") - F.col(f"{at}b"))
+
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit("na", "nb")
-    # sets of these sizes share a column among their first n - need / 7 + 1 ones; before a
-    # common column no more are common than the smaller position
-    tight = ((F.col("na") - F.col("pa")) * 7 >= need) & ((F.col("nb") - F.col("pb")) * 7 >= need)
-    early = (rest + F.least("pa", "pb")) * 7 >= need
+    # the overlap is not larger than what is left at the first common column; this drops
+    # later columns only, which are part of what is left at those that stay
+    tight = rest("p") * 7 >= need
     # and sets that reach the threshold differ in (na + nb) / 7 shingles at most
     differ = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in _MARKS), F.lit(0))
     marked = F.greatest("na", "nb") <= _MARKED
     close = F.when(marked, differ * 7 <= F.col("na") + F.col("nb")).otherwise(True)
-    met = left.join(right, "g").where(fits & tight & early & close)
-    sums = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    return written(sums.where((F.col("met") + rest - 1) * 7 >= need).select("a", "b"), "pairs")
+    met = left.join(right, "g").where(fits & tight & close)
+    # all common columns up to this place are counted: merged ones to their last, if no
+    # column between their first and their last is dropped
+    whole = rest("l") * 7 >= need
+    for x in ("a", "b"):
+        met = met.withColumn(f"u{x}", F.when(whole, F.col(f"l{x}")).otherwise(F.col(f"p{x}")))
+    sums = met.groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("met"), F.max("ua").alias("ua"), F.max("ub").alias("ub"))
+    return written(sums.where((F.col("met") + rest("u") - 1) * 7 >= need).select("a", "b"), "pairs")
 
 
 # --- comparison ---------------------------------------------------------------------
@@ -351,11 +381,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = facts.where("n > 0 and id is not null").groupBy("c1", "c2").agg(F.min("id").alias("row"), *some)
     sets = written(sets, "sets")
     shared = shared_prefixes(plain, classes, total)
-    free_shuffles(spark)
     names = sets.select("c1", "c2", "row")
     entries = shared.join(names, ["c1", "c2"]).groupBy("g", "row")
     entries = written(entries.agg(F.first("n").cast("long").alias("n"), F.first("pos").alias("pos")), "entries")
-    free_shuffles(spark)
+    entries = merged_columns(entries)
 
     links, found = None, None
     for turn in range(_TURNS + 1):
@@ -370,7 +399,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         texts = texts.join(wanted, "row").dropDuplicates(["row"])
         texts = written(texts.select("row", "text"), "texts")
         new = compared(pairs, texts)
-        free_shuffles(spark)
         links = new if links is None else links.unionByName(new)
         found = components(links)
     out = facts.select("id", "n", "c1", "c2").join(names, ["c1", "c2"], "left")
