@@ -44,7 +44,7 @@ _MARKS = tuple(f"m{i}" for i in range(8))
 _MARKED = 1000  # larger sets fill 512 bits, so that these bound nothing
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
-_TURNS, _DRAWN = 2, 4  # contractions, and rows that stand for a column in them
+_TURNS, _DRAWN = 1, 4  # contractions, and rows that stand for a column in them
 _GROUP = 1000  # comparisons with one row that a task takes at once
 
 
@@ -319,6 +319,56 @@ def product_pairs(rows: DataFrame) -> DataFrame:
     return written(sums.where((F.col("met") + rest("u") - 1) * 7 >= need).select("a", "b"), "pairs")
 
 
+# --- a second bound for large sets ----------------------------------------------------
+
+
+def wide_parity(hashes: np.ndarray) -> np.ndarray:
+    """As `parity`, with two bits or more for each hash, so that large sets do not fill it."""
+    width = 1 << max(9, int(2 * len(hashes) - 1).bit_length())
+    bits = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
+    return np.packbits(bits)
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """In how many bits two parities differ, the wider one folded to the other's width."""
+    x, y = sorted((np.frombuffer(v, dtype=np.uint8) for v in (a, b)), key=len)
+    folded = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(folded ^ x).sum())
+
+
+def _parities(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        texts, sizes, bits = frame["text"].tolist(), [], []
+        for low, high in batches(texts):
+            for s in shingle_sets(texts[low:high]):
+                sizes.append(len(s))
+                bits.append(wide_parity(s).tobytes())
+        yield pd.DataFrame({"row": frame["row"], "n": sizes, "bits": bits})
+
+
+def _near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        differ = np.array([differing_bits(x, y) for x, y in zip(frame["x"], frame["y"], strict=True)], dtype=np.int64)
+        fits = differ * 7 <= (frame["na"] + frame["nb"]).to_numpy()
+        yield frame.loc[fits, ["a", "b"]]
+
+
+def bounded_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose sets may be near enough by their wide parities; docs has (row, text).
+
+    Parities are a small part of the texts' size, so that fewer texts are shuffled.
+    """
+    wanted = written(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "ends")
+    known = thinned(docs, "row", wanted).mapInPandas(_parities, "row long, n long, bits binary")
+    known = written(known, "parities")
+
+    def side(x: str, bits: str) -> DataFrame:
+        return known.select(F.col("row").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(bits))
+
+    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return written(both.mapInPandas(_near, "a long, b long").distinct(), "near")
+
+
 # --- comparison ---------------------------------------------------------------------
 
 
@@ -393,9 +443,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             pairs = star_pairs(rows, turn)
         else:
             pairs = product_pairs(rows.join(sets.select("row", *_MARKS), "row"))
+        named = plain.withColumnRenamed("id", "row")
+        pairs = bounded_pairs(pairs, named)
         wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
         wanted = written(wanted, "wanted")
-        texts = thinned(plain.withColumnRenamed("id", "row"), "row", wanted)
+        texts = thinned(named, "row", wanted)
         texts = texts.join(wanted, "row").dropDuplicates(["row"])
         texts = written(texts.select("row", "text"), "texts")
         new = compared(pairs, texts)
