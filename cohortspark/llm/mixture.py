@@ -4,8 +4,9 @@ Of all document rates from 0 to `cap` whose sizes add up to the targets, the bal
 ones have the least relative entropy to taking every document once. They are
 exponentially tilted, rate = min(cap, exp(lambda * size / scale)), with one lambda for
 each source: the solution of a convex dual. Newton steps, kept within a bracket, solve
-the duals of all sources together; one step is one aggregate over the counts of
-documents by source and size, which determine the sums. The rates are rounded to whole
+the duals of all sources together; one pass is one aggregate over the counts of
+documents by source and size, which determine the sums, at the iterates and at points
+around them, so that a pass narrows the bracket as many single steps would. The rates are rounded to whole
 copies: the integer part, and one more copy for the documents of a source whose hash
 falls furthest below their fraction, until the target is met.
 
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from cohortspark.llm.common import free_name, gapless, written
 
-_STEPS = 80
-_BITS, _DIGIT = 36, 12
+_PASSES, _POINTS, _CLOSER = 40, 7, 4.0
+_BITS, _DIGIT = 36, 18
 _FILLINGS = 3
 
 
@@ -87,29 +88,37 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         inner.alias("open"),
     )
     state = written(state, "tilts")
-    for _ in range(_STEPS):
+    for _ in range(_PASSES):
         if state.where("open").isEmpty():
             break
+        # the Newton iterate, and points on both sides that come closer and closer to it
+        steps = [F.lit(_CLOSER**-i) for i in range(1, _POINTS + 1)]
+        below = [F.col("tilt") - (F.col("tilt") - F.col("low")) * s for s in steps]
+        above = [F.col("tilt") + (F.col("high") - F.col("tilt")) * s for s in steps]
+        tried = state.where("open").select("source", "target", "scale", F.explode(F.array(F.col("tilt"), *below, *above)).alias("at"))
         x = F.col("size") / F.col("scale")
-        free = F.col("tilt") * x < F.log(F.lit(cap))
-        rate = F.when(free, F.exp(F.col("tilt") * x)).otherwise(cap)
+        free = F.col("at") * x < F.log(F.lit(cap))
+        rate = F.when(free, F.exp(F.col("at") * x)).otherwise(cap)
         weight = F.col("n") * F.col("size")
         sums = (
-            _match(cells, state.where("open"))
-            .groupBy("source")
+            _match(cells, tried)
+            .groupBy("source", "at")
             .agg(
-                F.sum(weight * rate).alias("sum"),
+                (F.sum(weight * rate) - F.first("target")).alias("gap"),
                 F.coalesce(F.sum(F.when(free, weight * x * rate)), F.lit(0.0)).alias("slope"),
             )
         )
-        joined = _match(state, sums, "left")
-        gap = F.col("sum") - F.col("target")
-        low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
-        high = F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-        newton = F.col("tilt") - gap / F.nullif(F.col("slope"), F.lit(0.0))
+        found = sums.groupBy("source").agg(
+            F.max(F.when(F.col("gap") < 0, F.col("at"))).alias("under"),
+            F.min(F.when(F.col("gap") >= 0, F.col("at"))).alias("over"),
+            F.min_by(F.struct("at", "gap", "slope"), F.abs("gap")).alias("best"),
+        )
+        joined = _match(state, found, "left")
+        low, high = F.coalesce("under", "low"), F.coalesce("over", "high")
+        newton = F.col("best.at") - F.col("best.gap") / F.nullif(F.col("best.slope"), F.lit(0.0))
         inside = (newton > low) & (newton < high)
-        done = (F.abs(gap) <= 1e-10 * F.col("target")) | (high - low <= 1e-12 * (1 + F.abs("tilt")))
-        moved = F.when(done, F.col("tilt")).when(inside, newton).otherwise((low + high) / 2)
+        done = (F.abs("best.gap") <= 1e-10 * F.col("target")) | (high - low <= 1e-12 * (1 + F.abs("best.at")))
+        moved = F.when(done, F.col("best.at")).when(inside, newton).otherwise((low + high) / 2)
         was = F.col("open")
         state = written(
             joined.select(
@@ -129,7 +138,7 @@ def _thresholds(rated: DataFrame, seeds: DataFrame) -> DataFrame:
     """(source, edge, need, mass): keys below the edge fit, `need` is then left and the
     documents at the edge have `mass`.
 
-    A radix search over the keys: three histograms of 4096 digits for each source.
+    A radix search over the keys: two histograms of 262,144 digits for each source.
     """
     state = seeds.select("source", "need", F.lit(0).cast("long").alias("edge"))
     for step in range(_BITS // _DIGIT):
@@ -141,7 +150,7 @@ def _thresholds(rated: DataFrame, seeds: DataFrame) -> DataFrame:
             .groupBy("source", F.shiftrightunsigned("key", shift).bitwiseAND(F.lit((1 << _DIGIT) - 1)).alias("digit"))
             .agg(F.sum("size").alias("mass"))
         )
-        run = Window.partitionBy("source").orderBy("digit")  # 4096 rows of a source at most
+        run = Window.partitionBy("source").orderBy("digit")  # 262,144 rows of a source at most
         back = Window.partitionBy("source").orderBy(F.col("digit").desc())
         sums = _match(digits, state.select("source", "need")).withColumn("upto", F.sum("mass").over(run))
         hit = (
