@@ -95,7 +95,8 @@ def tilts(sized: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         steps = [F.lit(_CLOSER**-i) for i in range(1, _POINTS + 1)]
         below = [F.col("tilt") - (F.col("tilt") - F.col("low")) * s for s in steps]
         above = [F.col("tilt") + (F.col("high") - F.col("tilt")) * s for s in steps]
-        tried = state.where("open").select("source", "target", "scale", F.explode(F.array(F.col("tilt"), *below, *above)).alias("at"))
+        points = F.array_distinct(F.array(F.col("tilt"), *below, *above))
+        tried = state.where("open").select("source", "target", "scale", F.explode(points).alias("at"))
         x = F.col("size") / F.col("scale")
         free = F.col("at") * x < F.log(F.lit(cap))
         rate = F.when(free, F.exp(F.col("at") * x)).otherwise(cap)

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -56,3 +57,18 @@ def test_null_sources_empty_texts_repeated_ids_and_clashes(spark):
     assert [r.copies for r in out if r.source == "y"] == [1]
     empty = spark.createDataFrame([], "doc_id long, source string, size long")
     assert mixture.mix_by_weights(empty, "doc_id", (3, 1, 2), 1.5).count() == 0
+
+
+def test_rates_solve_the_dual(spark):
+    """The rates of each source add up to its target, from starts at either end of the bracket."""
+    rng = random.Random(9)
+    rows = [(i, f"s{i % 6}", rng.randrange(1, 3000)) for i in range(300)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    totals = {s: sum(n for _, t, n in rows if t == s) for s in {r[1] for r in rows}}
+    shares = {"s0": 0.2, "s1": 0.999, "s2": 1.001, "s3": 1.5, "s4": 1.97, "s5": 2.0}
+    targets = spark.createDataFrame([(s, totals[s] * x) for s, x in shares.items()], "source string, target double")
+    mixed = mixture.mix(sized, targets, "doc_id").collect()
+    for source, share in shares.items():
+        own = [r for r in mixed if r["source"] == source]
+        assert sum(r["rate"] * r["size"] for r in own) == pytest.approx(share * totals[source], rel=1e-6)
+        assert all(0 <= r["rate"] <= 2 and r["copies"] <= 2 for r in own)
