@@ -310,7 +310,7 @@ def all_oracles() -> dict[str, str]:
         )
         + " FROM lineitem",
         "standard_load": f"WITH {_PERSON} SELECT {_standard_columns()} FROM survey",
-        "harmonised_rows": "SELECT * EXCLUDE (l_shipdate) FROM lineitem",
+        "harmonised_rows": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
         "sparse_rows": """SELECT o_orderstatus, count(*) AS n, NULL::VARCHAR AS o_orderpriority
             FROM orders GROUP BY o_orderstatus UNION ALL
             SELECT NULL, count(*), o_orderpriority FROM orders GROUP BY o_orderpriority""",

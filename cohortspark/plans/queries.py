@@ -240,7 +240,8 @@ def standard_load(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def harmonised_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Three slices with different column orders stacked by name."""
-    lines = table(spark, sf, "lineitem").drop("l_shipdate")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    lines = table(spark, sf, "lineitem").withColumn("l_shipdate", day)
     names = lines.columns
     slices = [
         lines.where(F.col("l_returnflag") == flag).select(*order)
@@ -396,7 +397,7 @@ def duplicate_key_detail(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def duplicate_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with exact and changed copies of some of them."""
-    orders = table(spark, sf, "orders").drop("o_orderdate")
+    orders = table(spark, sf, "orders")
     copies = orders.where("o_orderstatus = 'F'")
     changed = orders.where("o_orderstatus = 'P'").withColumn(
         "o_orderpriority", F.lit(None).cast("string")
