@@ -85,7 +85,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ids = token_files.PieceIds(pieces.Codec(spark, model))
+    ids = token_files.PieceIds(alignment.piece_model(model))
     return token_files.materialise(docs, new_folder(spark, "shards"), ids)
 
 

@@ -10,7 +10,7 @@ sentencepiece = pytest.importorskip("sentencepiece")
 
 @pytest.mark.skipif(not Path(queries.PIECES).exists(), reason="no model file")
 def test_the_query_writes_ids_of_the_model(spark, tmp_path, monkeypatch):
-    texts = ["two words", "naïve café ß 日本", "", None, "for (i = 0; i < 10; i++) {\n}\n" * 400]
+    texts = ["two words", "naïve café ß 日本", "", None, " x ", "x▁y  z", "a" * 70_000 + " b", "for (i = 0; i < 10; i++) {\n}\n" * 400]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     docs.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     folder = f"file://{tmp_path}/out"
