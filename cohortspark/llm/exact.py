@@ -6,7 +6,7 @@ over the leading hash bits: the directory doubles until no bucket holds more tha
 `capacity` entries, and only overfull buckets split. Texts of the same hash are chained
 within their bucket. The index is written in ranges of buckets to the shared folder.
 
-Cases: a null text counts as empty, and empty texts are equal; of equal texts the
+Cases: very long texts are hashed and compared whole, byte by byte; a null text counts as empty, and empty texts are equal; of equal texts the
 largest id stays, a null id only if there is no other; rows that repeat both id and
 text are one document (`probe` marks all of them as kept, `keep_one` returns one); an
 empty table gives an empty result; other columns are carried along, and those with

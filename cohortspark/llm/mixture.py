@@ -10,7 +10,7 @@ around them, so that a pass narrows the bracket as many single steps would. The
 copies: the integer part, and one more copy for the documents of a source whose hash
 falls furthest below their fraction, until the target is met.
 
-Cases: a null source is a source of its own, last in order; null and empty texts have
+Cases: very long texts are their number of words, as all others; a null source is a source of its own, last in order; null and empty texts have
 size 0 and are taken once unless their source's target is its cap (`cap` copies) or 0;
 a source without words has target 0 and its documents are taken once; rows with the same id are rounded alike; an empty
 table gives an empty result; columns named like the results are replaced.

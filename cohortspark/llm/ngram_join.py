@@ -16,7 +16,7 @@ it has rows, and yet no link between components is lost.
 
 Shingles and sets are compared by 64-bit and 128-bit hashes.
 
-Cases: null and empty texts have an empty set and link with nothing, and neither do rows
+Cases: very long texts are hashed a slice at a time, and their sets are whole; null and empty texts have an empty set and link with nothing, and neither do rows
 whose id is null; rows of equal sets are one component, repeated rows included; an empty
 table gives an empty result; other columns are ignored.
 """

@@ -14,7 +14,7 @@ are pieces; its shortest path in the tropical semiring is the encoding.
 If no piece has a space inside, a text falls apart where a space follows something else;
 such parts are composed once and kept in a table of bounded size.
 
-Cases: null and empty texts give no ids and decode to an empty text; a space mark in the
+Cases: very long texts are encoded whole, part by part; null and empty texts give no ids and decode to an empty text; a space mark in the
 text is a space (as in the model's own library); other characters always survive, as
 bytes if need be; ids out of range or of control pieces decode to nothing.
 """

@@ -7,7 +7,7 @@ halves of the labelled rows score each other; from these scores, counted in fixe
 a monotone fit gives the probability that a raw score stands for. Ids, languages,
 sources and labels are no inputs of a score.
 
-Cases: null and empty texts have statistics of zeros and get a score like others; rows
+Cases: statistics are those of whole texts, however long; null and empty texts have statistics of zeros and get a score like others; rows
 with a null label or without a document do not train; repeated labels count as often as
 they occur; with labels of one value only or none, every score is the share of label 1
 (0.5 without labels); an empty table gives an empty result.

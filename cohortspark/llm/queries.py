@@ -112,10 +112,41 @@ def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def laws_of_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row of `op3_shuffle_shards` without what is random, and what holds for all:
+    shards within one row of each other, and slots from 0 without gaps."""
+    rows = written(op3_shuffle_shards(spark, sf_dir), "dealt")
+    by_shard = rows.groupBy("shard").agg(
+        F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.countDistinct("slot").alias("slots")
+    )
+    gapless = (F.col("low") == 0) & (F.col("high") == F.col("n") - 1) & (F.col("slots") == F.col("n"))
+    least = F.when(F.count("*") == 24, F.min("n")).otherwise(0)  # a shard without rows is not there
+    laws = by_shard.agg(
+        (F.max("n") - least <= 1).alias("even"),
+        (F.every(gapless) & (F.min("shard") >= 0) & (F.max("shard") < 24)).alias("gapless"),
+    )
+    return rows.select("doc_id", "size", "text_crc32", "law").join(F.broadcast(laws.withColumn("law", F.lit("rows"))), "law")  # one row
+
+
+def laws_of_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of `op1_mix_sources`, whether a document stays within its bound, and
+    whether its source ends within one document of its target."""
+    rows = written(op1_mix_sources(spark, sf_dir), "mixed")
+    source = table(spark, sf_dir, "documents").select("doc_id", "source").distinct()
+    sums = rows.join(source, "doc_id").groupBy("source")
+    sums = sums.agg(F.sum("taken").alias("all_taken"), F.max("size").alias("most"), F.first("target").alias("goal"))
+    near = sums.select("source", (F.abs(F.col("all_taken") - F.col("goal")) <= F.col("most")).alias("near"))
+    near = source.join(near, source["source"].eqNullSafe(near["source"])).select("doc_id", "near")
+    return rows.join(near, "doc_id").select(
+        "doc_id", "size", "source_size", F.round("target").cast("long").alias("target"),
+        (F.col("taken") <= 2 * F.col("size")).alias("bounded"), "near",
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op5_fuzzy_lines, op6_quality, op7_secret_scan, op8_token_files, op9_ngram_join, op10_exact_dedup, op11_resample, op12_align_tokens, op13_exact_topk)
+        for f in (op1_mix_sources, op2_near_vectors, op3_shuffle_shards, op4_pieces, op5_fuzzy_lines, op6_quality, op7_secret_scan, op8_token_files, op9_ngram_join, op10_exact_dedup, op11_resample, op12_align_tokens, op13_exact_topk, laws_of_shards, laws_of_mixture)
     }
 
 
@@ -148,8 +179,81 @@ _COMPONENTS = """
 """
 
 
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.islower() else c for c in words)
+
+
+#: Kind, expression, its group with the value, and the least characters of that.
+_SECRETS = (
+    ("assign", f"({_either_case('password|passwd|secret|token|api_?key')})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+)
+
+
+def _secrets_sql() -> str:
+    """Matches and what stands between them alternate, so their lengths give the places."""
+    kinds = " UNION ALL ".join(
+        f"""
+            SELECT id, {k} AS k, '{name}' AS kind, unnest(string_split_regex(text, '{regex}')) AS gap,
+                   unnest(regexp_extract_all(text, '{regex}')) AS whole,
+                   unnest(regexp_extract_all(text, '{regex}', {group})) AS value,
+                   unnest(range(len(regexp_extract_all(text, '{regex}')))) AS i, {least} AS least
+            FROM texts"""
+        for k, (name, regex, group, least) in enumerate(_SECRETS)
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = '{name}') AS n_{name}" for name, *_ in _SECRETS)
+    return f"""
+            WITH texts AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+            matches AS ({kinds}),
+            placed AS (
+                SELECT *, CAST(sum(length(gap) + length(whole)) OVER (PARTITION BY id, k ORDER BY i) AS BIGINT) AS upto
+                FROM matches WHERE i IS NOT NULL
+            ),
+            found AS (
+                SELECT id, {counts},
+                       string_agg(kind || ':' || (upto - length(whole)) || ':' || upto, ',' ORDER BY upto - length(whole), k) AS spans
+                FROM placed WHERE length(value) >= least GROUP BY id
+            )
+            SELECT doc_id, {", ".join(f"coalesce(n_{name}, 0) AS n_{name}" for name, *_ in _SECRETS)},
+                   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+            FROM texts LEFT JOIN found USING (id)
+        """
+
+
 def llm_oracles() -> dict[str, str]:
     return {
+        "op7_secret_scan": _secrets_sql(),
+        "laws_of_shards": f"""
+            WITH features AS (SELECT coalesce(text, '') AS f FROM documents),
+            {_CRC}
+            SELECT doc_id, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size, crc AS text_crc32,
+                   'rows' AS law, true AS even, true AS gapless
+            FROM documents JOIN checksums ON f = coalesce(text, '')
+        """,
+        # sources in the order in which a rising level reaches their bounds
+        "laws_of_mixture": """
+            WITH sized AS (
+                SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+            ),
+            sources AS (
+                SELECT source, CAST(sum(size) AS BIGINT) AS own,
+                       [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+                FROM sized GROUP BY source
+            ),
+            levels AS (
+                SELECT *, 2 * own / weight AS bound,
+                       (1.5::DOUBLE * sum(own) OVER () - coalesce(sum(2 * own) OVER below, 0))
+                           / sum(weight) OVER (ORDER BY 2 * own / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+                FROM sources
+                WINDOW below AS (ORDER BY 2 * own / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            ),
+            goals AS (
+                SELECT source, own, least(2 * own, weight * (SELECT max(level) FROM levels WHERE level <= bound)) AS target FROM levels
+            )
+            SELECT doc_id, size, own AS source_size, CAST(round(target) AS BIGINT) AS target, true AS bounded, true AS near
+            FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
+        """,
         "op2_near_vectors": f"""
             WITH RECURSIVE usable AS (
                 SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x

@@ -11,7 +11,7 @@ A text whose hash is another candidate's is matched in vain, so hashes cost noth
 time. Matches of a rule are leftmost and do not overlap; a match whose checked group is
 shorter than the rule's least length is dropped after that.
 
-Cases: null and empty texts have no matches; rows of equal text each get their matches;
+Cases: very long texts are searched whole; null and empty texts have no matches; rows of equal text each get their matches;
 an empty table gives an empty result; columns named like the results are replaced.
 """
 

@@ -6,7 +6,7 @@ its rows and deals them out by its row of the matrix; after the exchange each sh
 permuted again. No task sees a whole shard, and the driver only sees counts of blocks of
 1024 partitions.
 
-Cases: nulls, empty texts and repeated rows are rows like any other; an empty table
+Cases: nulls, empty and very long texts and repeated rows are rows like any other; an empty table
 gives an empty result; fewer rows than shards leave shards empty; columns of the result
 that the input has already are replaced. Rows keep all their columns.
 """
