@@ -99,11 +99,11 @@ def extract_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
     line = F.when(F.col("NUM_PERSONA") == "5", F.concat(cells, F.lit(",1"))).when(
         F.col("NUM_PERSONA") == "6", F.substring_index(cells, ",", 9)
     )
-    lines = people.select(_FOLDER, F.lit(1).alias("k"), F.coalesce(line, cells).alias("value"))
-    heads = people.select(_FOLDER).distinct().select(_FOLDER, F.lit(0).alias("k"), F.lit(",".join(_FIELDS)).alias("value"))
-    files = lines.unionByName(heads).repartition(_FOLDER).sortWithinPartitions(_FOLDER, "k")
+    # Lines of any width are one column, whose name is the header of every part that a task writes.
+    lines = people.select(F.coalesce(line, cells).alias(",".join(_FIELDS)), _FOLDER)
     root = f"{work_folder(spark)}/raw"
-    files.select("value", _FOLDER).write.partitionBy(_FOLDER).text(root)
+    whole = {"sep": "\x01", "quote": "\0", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.partitionBy(_FOLDER).csv(root, header=True, **whole)
     loaded = scan_extracts(spark, _paths(spark, root))
     good = loaded.table.select("periodo_archivo", F.lit("buena").alias("fila"), F.lit(len(_FIELDS)).alias("celdas"))
     written = F.size(F.split("registro", ","))
