@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import apply_filters_with_audit
 from ..operators.relational import shared_folder, spread
 from ..presets import LABOUR_SURVEY
+from ..session import compilable
 from ..sources.extracts import standardise
 from ..spec import DatasetSpec, FieldSpec
 
@@ -67,7 +68,7 @@ def spark_sql(text: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return compilable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
+#: Wide coercions make long generated methods, and the JVM does not compile
+#: methods beyond 8000 bytes: split them instead of running them interpreted.
+_LONGEST_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 SETTINGS = {
-    # Wide coercions make long generated methods, and the JVM does not compile
-    # methods beyond 8000 bytes: split them instead of running them interpreted.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    _LONGEST_METHOD[0]: _LONGEST_METHOD[1],
     # Recording a Python call site for every column operation costs seconds on
     # plans of this width; errors still name the failing operation.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -22,3 +26,14 @@ def configure(builder):
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
+
+
+def compilable(spark: SparkSession) -> SparkSession:
+    """The session, in which wide plans are split into methods that the JVM compiles.
+
+    Interpreted ones take three times as long. A limit the session already has is kept.
+    """
+    name, limit = _LONGEST_METHOD
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, limit)
+    return spark

@@ -25,6 +25,7 @@ from ..functions.text import (
 )
 from ..operators.relational import settle
 from ..presets import EXPECTED_PERIODS, LABOUR_SURVEY
+from ..session import compilable
 from ..spec import DatasetSpec, FieldSpec, PeriodNaming, RequiredColumnsError
 from .layouts import BAD, FILE, Layout, clean_header, find_layouts, raw_header, scan_layout
 
@@ -299,7 +300,7 @@ def scan_extracts(
     if outside:
         raise ValueError(f"required columns are not selected: {', '.join(outside)}")
 
-    periods = extract_periods(spark, paths, spec.naming, metadata)
+    periods = extract_periods(compilable(spark), paths, spec.naming, metadata)
     layouts = find_layouts(spark, list(map(str, paths)), separator, multi_line)
     tables, rest = [], []
     for layout in layouts:
