@@ -10,9 +10,10 @@ sizes and positions bound their overlap below the threshold are discarded before
 are compared.
 
 Dense groups are contracted first: rows are compared with a few rows of the columns they
-share, and linked rows become one component. The product then only takes pairs of
-different components, so that a large group of near copies costs as many comparisons as
-it has rows, and yet no link between components is lost.
+share, and linked rows become one component, again and again while that leaves the product
+much less to do. The product then only takes pairs of different components, so that a
+large group of near copies costs as many comparisons as it has rows, and yet no link
+between components is lost.
 
 Shingles and sets are compared by 64-bit and 128-bit hashes.
 
@@ -44,7 +45,8 @@ _MARKS = tuple(f"m{i}" for i in range(8))
 _MARKED = 1000  # larger sets fill 512 bits, so that these bound nothing
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
-_TURNS, _DRAWN = 1, 4  # contractions, and rows that stand for a column in them
+_TURNS, _DRAWN = 6, 4  # contractions at most, and rows that stand for a column in them
+_MEETINGS = 2  # a product with fewer meetings for each entry needs no contraction
 _GROUP = 1000  # comparisons with one row that a task takes at once
 
 
@@ -262,6 +264,16 @@ def _current(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     return written(rows.join(ends.where("low < high").select("g"), "g"), "current")
 
 
+def meetings(rows: DataFrame) -> tuple[int, int]:
+    """Entries, and pairs of entries of one column and different components."""
+    sizes = rows.groupBy("g", "comp").agg(F.count("*").alias("k"))
+    columns = sizes.groupBy("g").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
+    # as doubles: a column of many rows has more pairs than a long holds of all columns
+    pairs = F.sum((F.col("k").cast("double") * F.col("k") - F.col("own")) / 2)
+    entries, met = columns.agg(F.sum("k"), pairs).first()
+    return entries or 0, int(met or 0)
+
+
 def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """(a, b): for each component one pair of a row b of it with a row a of another one.
 
@@ -436,10 +448,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entries = written(entries.agg(F.first("n").cast("long").alias("n"), F.first("pos").alias("pos")), "entries")
     entries = merged_columns(entries)
 
-    links, found = None, None
+    links, found, before = None, None, None
     for turn in range(_TURNS + 1):
         rows = _current(entries, found)
-        if turn < _TURNS:
+        held, met = meetings(rows)
+        # a contraction that left most meetings is the last one
+        contract = turn < _TURNS and met > _MEETINGS * held and (before is None or met * 4 <= before * 3)
+        before = met
+        if contract:
             pairs = star_pairs(rows, turn)
         else:
             pairs = product_pairs(rows.join(sets.select("row", *_MARKS), "row"))
@@ -453,6 +469,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         new = compared(pairs, texts)
         links = new if links is None else links.unionByName(new)
         found = components(links)
+        if not contract:
+            break
     out = facts.select("id", "n", "c1", "c2").join(names, ["c1", "c2"], "left")
     out = out.join(found.withColumnRenamed("vertex", "row"), "row", "left")
     grouped = F.coalesce("component", "row")

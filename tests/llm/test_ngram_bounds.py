@@ -51,3 +51,28 @@ def test_shared_passages_of_long_texts(spark):
     assert got == groups(texts, jaccard_links(texts))
     sizes = {r["doc_id"]: r["n_shingles"] for r in ngram_join.jaccard_components(docs.where(F.col("doc_id") < 3)).collect()}
     assert sizes == {i: len(shingle_sets([texts[i]])[0]) for i in range(3)}
+
+
+def test_contractions_leave_few_meetings_of_near_copies(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = {}
+    for i in range(60):  # the first one is far from most, all are near those of two changes
+        words = [f"w{j}" for j in range(300)]
+        for place in rng.sample(range(300), 5 if i == 0 else rng.randint(2, 5)):
+            words[place] = f"x{i}-{place}"
+        texts[i] = " ".join(words)
+    seen, product = [], ngram_join.product_pairs
+
+    def counted(rows):
+        left = rows.select("g", "comp").alias("l").join(rows.select("g", "comp").alias("r"), "g").where("l.comp < r.comp")
+        seen.append(left.count())
+        return product(rows)
+
+    monkeypatch.setattr(ngram_join, "product_pairs", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = groups(texts, jaccard_links(texts))
+    for turns in (1, ngram_join._TURNS):
+        monkeypatch.setattr(ngram_join, "_TURNS", turns)
+        rows = ngram_join.jaccard_components(docs).collect()
+        assert {r.doc_id: r.component_id for r in rows} == want
+    assert seen[1] * 3 < seen[0]
