@@ -29,11 +29,14 @@ def to_number(column: Column) -> Column:
     """Text to double; malformed text becomes null, ``nan``/``inf`` keep meaning.
 
     The pattern guard is needed: a bare ``try_cast`` also accepts ``1d``, ``1f``
-    and hexadecimal floats. One pattern and one cast keep the generated code of
-    a wide table small enough to be compiled.
+    and hexadecimal floats. Texts that begin and end like a plain number and have no
+    ``x`` are none of these, so that most texts need no pattern.
     """
     text = column.cast("string")
-    return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
+    first = (text >= "+") & (text < ":")  # one of +,-./0123456789
+    last = F.substring(text, -1, 1).between(".", "9")
+    plain = first & last & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain | text.rlike(_NUMBER_TEXT), text.try_cast("double"))
 
 
 def is_finite(number: Column) -> Column:
@@ -84,7 +87,7 @@ def to_code(
     text = _text(column)
     if canonical:
         return _closed(_canonical(text), valid, unknown)
-    short = F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")
+    short = F.when(text.contains(".0"), F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")).otherwise(text)
     if valid is None:
         return F.nullif(short, F.lit(""))
     return _closed(short, valid, unknown)

@@ -3,6 +3,7 @@
 import datetime
 import decimal
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from cohortspark import (
 )
 from cohortspark.functions.coerce import code_literal
 from cohortspark.functions.derive import BANDS, band_rank
+from cohortspark.functions.text import SPACE, strip
 
 UNKNOWN = "DESCONOCIDO"
 
@@ -152,3 +154,30 @@ def test_staged_text(spark):
     assert got[0]["n"] == "1.50"
     assert [r["t"] for r in got[:3]] == ["2025-01-02T03:04:05", "2025-01-02T03:04:05.000120", None]
     assert [r["s"] for r in got[:3]] == ["a", None, None] and got[4]["s"] is None
+
+
+def test_texts_of_plain_form_need_no_pattern(spark):
+    values = ["5", "-5", "+.5", "5.", "1e5", "1d", "2F", "0x1p3", "0X1P3", " 7 ", "\t7", "7\t", "7\n", "-", ",5", "5/", ".", "", "nan", "-inf", "Infinity", None]
+    df = texts(spark, values)
+    pattern = r"^ *([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i)(nan|[+-]?inf(inity)?)) *$"
+    old = F.when(F.col("x").rlike(pattern), F.col("x").try_cast("double"))
+    assert list(map(str, column(df, to_number(F.col("x"))))) == list(map(str, column(df, old)))
+    codes = ["5.0", "5.00\n", " 5.0 ", "5.05", "x.0", ".0", "5", "10", "1.00.0", "", None]
+    df = texts(spark, codes)
+    short = F.regexp_replace(F.trim("x"), r"^([+-]?\d+)\.0+$", "$1")
+    assert column(df, to_code(F.col("x"))) == column(df, F.nullif(short, F.lit("")))
+
+
+def test_strip_needs_a_pattern_only_at_odd_ends(spark):
+    values = ["a", " a b ", " a　", "é a", "a é ", "\x1ca", "a\x1f", "~", "!", "\x7f", "", " ", None]
+    df = texts(spark, values)
+    old = F.regexp_replace("x", f"^{SPACE}+|{SPACE}+$", "")
+    assert column(df, strip(F.col("x"))) == column(df, old)
+
+
+def test_plain_texts_skip_patterns(spark):
+    # Java's pattern would take a time that grows with the square of such texts
+    df = spark.range(2_000).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 20_000), F.lit("b")).alias("x")).repartition(2)
+    started = time.monotonic()
+    assert df.select(F.sum(F.length(strip(F.col("x"))))).first()[0] == 2_000 * 20_002
+    assert time.monotonic() - started < 20
