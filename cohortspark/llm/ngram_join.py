@@ -11,7 +11,7 @@ are compared.
 
 Dense groups are contracted first: rows are compared with a few rows of the columns they
 share, and linked rows become one component, again and again while that leaves the product
-much less to do. The product then only takes pairs of different components, so that a
+less to do. The product then only takes pairs of different components, so that a
 large group of near copies costs as many comparisons as it has rows, and yet no link
 between components is lost.
 
@@ -45,7 +45,8 @@ _MARKS = tuple(f"m{i}" for i in range(8))
 _MARKED = 1000  # larger sets fill 512 bits, so that these bound nothing
 _BLOCK_ENTRIES = 200_000
 _FLUSH = 300_000
-_TURNS, _DRAWN = 6, 4  # contractions at most, and rows that stand for a column in them
+_LEAST, _TURNS = 2, 6  # contractions of a dense product: at least, and at most
+_DRAWN = 4  # rows that stand for a column in them, besides the most central one
 _MEETINGS = 2  # a product with fewer meetings for each entry needs no contraction
 _GROUP = 1000  # comparisons with one row that a task takes at once
 
@@ -274,24 +275,46 @@ def meetings(rows: DataFrame) -> tuple[int, int]:
     return entries or 0, int(met or 0)
 
 
+def _differing(a: Callable, b: Callable) -> Column:
+    """In how many bits the parities of two sets differ; a and b give their columns."""
+    return sum((F.bit_count(a(m).bitwiseXOR(b(m))) for m in _MARKS), F.lit(0))
+
+
+def _close(differ: Column, na: Column, nb: Column) -> Column:
+    """Sets that reach the threshold differ in (na + nb) / 7 shingles at most."""
+    return F.when(F.greatest(na, nb) <= _MARKED, differ * 7 <= na + nb).otherwise(True)
+
+
+def _central(rows: DataFrame) -> DataFrame:
+    """The rows with `hub`, larger where many rows share a row's columns. Of a group of
+    near copies these are the rows with few changes of their own, near to most others."""
+    sizes = rows.groupBy("g").agg(F.count("*").alias("k"))
+    sums = rows.join(sizes, "g").groupBy("row").agg((F.sum(F.col("k") * F.col("w")) / F.first("n")).alias("hub"))
+    return written(rows.join(sums, "row"), "central")
+
+
 def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """(a, b): for each component one pair of a row b of it with a row a of another one.
 
-    A few rows stand for each column: its first row in turn 0, then rows drawn by hash.
-    Of the pairs they make, a component takes the one that shares most columns, if those
-    are a third of a prefix. Only a head start: what it leaves out, the product finds.
+    A few rows stand for each column: its most central one, and some drawn by hash. Of the
+    pairs they make, a component takes the one whose parities differ least, and of large
+    sets the one that shares most columns, if those are a third of a prefix. Only a head
+    start: what it leaves out, the product finds.
     """
-    whole = ("row", "n", "comp")
-    if turn:
-        drawn = [F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "row").alias("spot"), *whole)) for k in range(_DRAWN)]
-        first = rows.groupBy("g").agg(F.array_distinct(F.array(*drawn)).alias("z")).select("g", F.explode("z").alias("z"))
-    else:
-        first = rows.groupBy("g").agg(F.min(F.struct(*whole)).alias("z"))
+    rows = _central(rows)
+    whole = F.struct("row", "n", "comp", *_MARKS)
+    drawn = [F.min_by(whole, F.struct(F.xxhash64(F.lit(turn), F.lit(k), "row"), "row")) for k in range(_DRAWN)]
+    stars = F.array_distinct(F.array(F.max_by(whole, F.struct("hub", "row")), *drawn))
+    first = rows.groupBy("g").agg(stars.alias("z")).select("g", F.explode("z").alias("z"))
     near = rows.join(first, "g").where(F.col("comp") != F.col("z.comp"))
     near = near.withColumns({"a": F.col("z.row"), "na": F.col("z.n")}).where(_sizes_fit("n", "na"))
-    met = near.groupBy("row", "n", "comp", "a").agg(F.sum("w").alias("met"))
-    met = met.where(F.col("met") * 12 >= F.col("n"))
-    best = met.groupBy("comp").agg(F.max(F.struct("met", "a", "row")).alias("best"))
+    near = near.withColumn("differ", _differing(F.col, lambda m: F.col("z")[m]))
+    near = near.where(_close(F.col("differ"), F.col("n"), F.col("na")))
+    met = near.groupBy("row", "n", "comp", "a", "na", "differ").agg(F.sum("w").alias("met"))
+    marked = F.greatest("n", "na") <= _MARKED
+    met = met.where(marked | (F.col("met") * 12 >= F.col("n")))
+    apart = F.when(marked, F.col("differ") / (F.col("n") + F.col("na"))).otherwise(1.0)
+    best = met.groupBy("comp").agg(F.min(F.struct(apart, -F.col("met"), "a", "row")).alias("best"))
     return written(best.select(F.col("best.a").alias("a"), F.col("best.row").alias("b")), "stars")
 
 
@@ -317,10 +340,8 @@ def product_pairs(rows: DataFrame) -> DataFrame:
     # the overlap is not larger than what is left at the first common column; this drops
     # later columns only, which are part of what is left at those that stay
     tight = rest("p") * 7 >= need
-    # and sets that reach the threshold differ in (na + nb) / 7 shingles at most
-    differ = sum((F.bit_count(F.col(f"{m}a").bitwiseXOR(F.col(f"{m}b"))) for m in _MARKS), F.lit(0))
-    marked = F.greatest("na", "nb") <= _MARKED
-    close = F.when(marked, differ * 7 <= F.col("na") + F.col("nb")).otherwise(True)
+    differ = _differing(lambda m: F.col(f"{m}a"), lambda m: F.col(f"{m}b"))
+    close = _close(differ, F.col("na"), F.col("nb"))
     met = left.join(right, "g").where(fits & tight & close)
     # all common columns up to this place are counted: merged ones to their last, if no
     # column between their first and their last is dropped
@@ -448,17 +469,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entries = written(entries.agg(F.first("n").cast("long").alias("n"), F.first("pos").alias("pos")), "entries")
     entries = merged_columns(entries)
 
-    links, found, before = None, None, None
+    links, found, before = None, None, 0
     for turn in range(_TURNS + 1):
         rows = _current(entries, found)
         held, met = meetings(rows)
-        # a contraction that left most meetings is the last one
-        contract = turn < _TURNS and met > _MEETINGS * held and (before is None or met * 4 <= before * 3)
+        # a contraction that left nearly all meetings is the last one, but the rows of one
+        # turn may be unlucky
+        contract = turn < _TURNS and met > _MEETINGS * held and (turn < _LEAST or met * 20 <= before * 19)
         before = met
-        if contract:
-            pairs = star_pairs(rows, turn)
-        else:
-            pairs = product_pairs(rows.join(sets.select("row", *_MARKS), "row"))
+        rows = rows.join(sets.select("row", *_MARKS), "row")
+        pairs = star_pairs(rows, turn) if contract else product_pairs(rows)
         named = plain.withColumnRenamed("id", "row")
         pairs = bounded_pairs(pairs, named)
         wanted = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()

@@ -76,3 +76,26 @@ def test_contractions_leave_few_meetings_of_near_copies(spark, monkeypatch):
         rows = ngram_join.jaccard_components(docs).collect()
         assert {r.doc_id: r.component_id for r in rows} == want
     assert seen[1] * 3 < seen[0]
+
+
+def test_contractions_go_on_when_the_first_leaves_most_meetings(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = {}
+    for i in range(120):  # the first row, which stood for its columns, is near to few others
+        words = [f"w{j}" for j in range(150)]
+        for place in rng.sample(range(150), 4 if i < 20 else rng.choice((1, 2, 2, 3))):
+            words[place] = f"x{i}-{place}"
+        texts[i] = " ".join(words)
+    met, product = [], ngram_join.product_pairs
+
+    def counted(rows):
+        found = product(rows)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "product_pairs", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    links = jaccard_links(texts)
+    rows = ngram_join.jaccard_components(docs).collect()
+    assert {r.doc_id: r.component_id for r in rows} == groups(texts, links)
+    assert met[0] * 10 < len(links)
