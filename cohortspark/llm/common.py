@@ -5,12 +5,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortspark import session
+
 #: A word: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: After so many written tables the driver collects its garbage.
@@ -65,19 +65,10 @@ def ship(spark: SparkSession) -> None:
     Batches of texts for Python are made smaller, unless the session has chosen their
     size: several copies of a batch exist at a time in each worker.
     """
-    context = spark.sparkContext
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":
         spark.conf.set(rows, "1000")
-    if getattr(context, "_cohortspark_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="code-")) / "cohortspark_code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(package.rglob("*.py")):
-            out.write(path, path.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._cohortspark_shipped = True
+    session.ship(spark)
 
 
 def free_shuffles(spark: SparkSession) -> None:

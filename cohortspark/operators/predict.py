@@ -8,13 +8,15 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Model
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..presets import LABOUR_SURVEY
 from ..spec import DatasetSpec, require_columns
 from .evaluate import METRICS, best_by, regression_metrics, stack_predictions
+from .forest import CellForestRegressor
 from .quantiles import ACCURACY, select_ranks
 from .relational import kept, settle
 from .segment import SEED
@@ -49,11 +51,10 @@ def with_baseline(
 
 
 #: Estimator and fixed values of each kind of model; a configuration sets the rest.
-#: With cached node ids, a level of a forest does not walk every tree from its root for
-#: every row; the trees are the same.
+#: Forests are grown from the cells of the rows' bins; the trees are those of MLlib.
 KINDS = {
     "linear": (LinearRegression, {"maxIter": 100, "standardization": True}),
-    "forest": (RandomForestRegressor, {"maxBins": 16, "maxMemoryInMB": 64, "cacheNodeIds": True, "seed": SEED}),
+    "forest": (CellForestRegressor, {"maxBins": 16, "maxMemoryInMB": 64, "cacheNodeIds": True, "seed": SEED}),
 }
 
 
@@ -65,15 +66,14 @@ def encoder_stages(spec: DatasetSpec = LABOUR_SURVEY) -> list:
     """
     if spec.target in {*spec.numeric, *spec.categorical}:
         raise ValueError(f"the target {spec.target} must not be a predictor")
-    stages, inputs = [], list(spec.numeric)
-    for column in spec.categorical:
-        place, slots = f"{column}__index", f"{column}__ohe"
-        stages += [
-            StringIndexer(inputCol=column, outputCol=place, handleInvalid="keep"),
-            OneHotEncoder(inputCol=place, outputCol=slots, handleInvalid="keep"),
-        ]
-        inputs.append(slots)
-    return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
+    names = list(spec.categorical)
+    places, slots = ([f"{column}__{kind}" for column in names] for kind in ("index", "ohe"))
+    stages = [  # of all variables at once: their labels are counted in one scan
+        StringIndexer(inputCols=names, outputCols=places, handleInvalid="keep"),
+        OneHotEncoder(inputCols=places, outputCols=slots, handleInvalid="keep"),
+    ]
+    inputs = [*spec.numeric, *slots]
+    return [*(stages if names else []), VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
 def model_pipeline(
@@ -126,7 +126,9 @@ def sweep(
     ]
     with kept(encoded[0]) as (features,):
         fitted = {n: p.getStages()[-1].fit(features) for n, p in pipelines.items()}
-    long = score_models(encoded[1], fitted, [spec.target])
+    # trees look features up by their place, in a sparse vector by a search
+    dense = encoded[1].withColumn("features", array_to_vector(vector_to_array("features")))
+    long = score_models(dense, fitted, [spec.target])
     metrics = settle(regression_metrics(long, spec.target, by=["modelo"]))
     models = {n: PipelineModel([*encoder.stages, m]) for n, m in fitted.items()}
     names = [n for n in configs[0] if n != "modelo"]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Wide coercions make long generated methods, and the JVM does not compile
@@ -37,3 +41,17 @@ def compilable(spark: SparkSession) -> SparkSession:
     if spark.conf.get(name, None) is None:
         spark.conf.set(name, limit)
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python workers, once for each session."""
+    context = spark.sparkContext
+    if getattr(context, "_cohortspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / "cohortspark_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._cohortspark_shipped = True
