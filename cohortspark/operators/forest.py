@@ -7,7 +7,8 @@ is bounded by the bins (16 for a number), and never more than rows.
 
 Splits, draws of rows and features of a node are those that MLlib finds and draws for the
 same partitions and seed, nodes are taken in its order and ties are decided as it does; sums
-are added in another order, so that numbers agree to rounding. Cells are kept in bounded
+are added in another order, so that numbers agree to rounding; a node of few rows and one value
+may be taken for a leaf by one and be looked at by the other. Cells are kept in bounded
 tables of a task, blocks of them are cached, and only the best splits reach the driver.
 """
 
@@ -197,8 +198,10 @@ class _Table:
         self.slots = np.empty(0, dtype=np.int64)  # of the sorted keys
         self.sums = np.zeros((trees, _SUMS, size))  # untouched pages take no memory
 
-    def add(self, keys: np.ndarray, place: np.ndarray, y: np.ndarray, drawn: np.ndarray) -> None:
-        """`keys` are sorted, `place` is where those of the rows are; drawn is (tree, row)."""
+    def add(self, keys: np.ndarray, first: np.ndarray, place: np.ndarray, y: np.ndarray, drawn: np.ndarray) -> None:
+        """`keys` are sorted, with their first rows, `place` is where those of the rows are;
+        drawn is (tree, row). Cells keep the order of their first rows: sums of few rows are
+        then rounded as MLlib's are, which tests them for being of one value."""
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), dtype=bool)
         inside = at < len(self.keys)
@@ -206,7 +209,7 @@ class _Table:
         slots = np.empty(len(keys), dtype=np.int64)
         slots[known] = self.slots[at[known]]
         size = len(self.keys)
-        slots[~known] = np.arange(size, size + int((~known).sum()))
+        slots[~known] = size + np.argsort(np.argsort(first[~known]))
         self.keys = np.insert(self.keys, at[~known], keys[~known])
         self.slots = np.insert(self.slots, at[~known], slots[~known])
         for tree, weight in enumerate(drawn):
@@ -260,7 +263,7 @@ def _cells(plan: _Plan, rows: DataFrame) -> DataFrame:
             new[1:] = ordered[1:] != ordered[:-1]
             place = np.empty(len(keys), dtype=np.int64)
             place[order] = np.cumsum(new) - 1
-            table.add(ordered[new], place, y, np.ascontiguousarray(drawn.T, dtype=np.float64))
+            table.add(ordered[new], order[new], place, y, np.ascontiguousarray(drawn.T, dtype=np.float64))
 
         def chunks() -> Iterator[list[np.ndarray]]:
             held, waiting = [], 0
@@ -475,8 +478,7 @@ def _best_splits(plan: _Plan, blocks: DataFrame, trees: list[_Tree], group: dict
                     bins = x[rows[:, None], own[at]].astype(np.int64)
                     spots = ((at * picked)[:, None] + np.arange(picked)) * most + bins
                     for i in range(_SUMS):
-                        weights = np.repeat(stats[t, i, rows], picked)
-                        sums[t][i] += np.bincount(spots.ravel(), weights, sums[t].shape[1])
+                        np.add.at(sums[t][i], spots.ravel(), np.repeat(stats[t, i, rows], picked))
         if nodes:
             tables = [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays(tables, ["tree", "sums"])
